@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidewright.catalog.registry import query
-from tidewright.catalog.standins import LANDED, READINGS, SCORED, WORDS, landed, readings, scored, tide_replies
+from tidewright.catalog.standins import LANDED, READINGS, SCORED, TURN_WORDS, landed, readings, scored, tide_replies
 from tidewright.functions import clip_round, knots, risk_score, safety_level, speed, truncate
 from tidewright.operators.aggregates import (
     agg_grid,
@@ -301,7 +301,7 @@ def mae_baseline(t):
 @query(
     "tide_kind_counts",
     f"""
-    WITH {WORDS}
+    WITH {TURN_WORDS}
     SELECT CASE WHEN h >= 9 THEN 'HIGH TIDE' ELSE 'LOW_TIDE' END AS state, count(*) AS n
     FROM words WHERE h >= 9 OR h <= 2 GROUP BY 1
     """,

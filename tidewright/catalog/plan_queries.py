@@ -10,8 +10,9 @@ from tidewright.catalog.standins import (
     MONTH_START,
     NOW,
     READINGS,
-    WORDS,
+    TURN_WORDS,
     grid,
+    rounded,
     tide,
     tide_replies,
     tide_sql,
@@ -32,8 +33,8 @@ FIXED = "2024-02-01 00:00:00"
 @query(
     "silver_weather",
     f"""
-    WITH {WORDS}
-    SELECT CAST(doc_id AS VARCHAR) AS punto_id, lang AS zona_id,
+    WITH {TURN_WORDS}
+    SELECT punto_id, zona_id,
            TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * i AS timestamp_forecast, TIMESTAMP '2024-01-01' AS run_ts,
            h AS wave_height_m, h * 2 AS wind_speed_ms, h * 3 AS air_temperature_c, h * 4 AS precipitation_mm,
            h * 5 AS cloud_cover_pct, h * 6 AS visibility_km, CAST(NULL AS DOUBLE) AS pressure_hpa,
@@ -49,12 +50,10 @@ def silver_weather_query(t):
     )
 
 
-TIDE_MOMENTS = f"""{WORDS},
-    moments AS (
-      SELECT CAST(doc_id AS VARCHAR) AS punto_id, lang AS zona_id, TIMESTAMP '2024-01-01' + INTERVAL 10 MINUTE * i AS at, h
-      FROM words),
+TIDE_MOMENTS = f"""{TURN_WORDS},
+    moments AS (SELECT punto_id, zona_id, TIMESTAMP '2024-01-01' + INTERVAL 10 MINUTE * i AS ts, h FROM words),
     extremes AS (
-      SELECT punto_id, zona_id, at, h, CASE WHEN h >= 9 THEN 'HIGH' ELSE 'LOW' END AS kind
+      SELECT punto_id, zona_id, ts, h, CASE WHEN h >= 9 THEN 'HIGH' ELSE 'LOW' END AS kind
       FROM moments WHERE h >= 9 OR h <= 2)"""
 
 
@@ -63,9 +62,9 @@ TIDE_MOMENTS = f"""{WORDS},
     f"""
     WITH {TIDE_MOMENTS},
     n AS (
-      SELECT m.punto_id, m.zona_id, m.at, m.h, e.kind, (epoch(e.at) - epoch(m.at)) / 3600.0 AS hours
-      FROM moments m ASOF LEFT JOIN extremes e ON m.punto_id = e.punto_id AND m.at < e.at)
-    SELECT punto_id, zona_id, at AS timestamp_forecast, TIMESTAMP '2024-01-01' AS run_ts, h AS altura_marea_m,
+      SELECT m.punto_id, m.zona_id, m.ts, m.h, e.kind, (epoch(e.ts) - epoch(m.ts)) / 3600.0 AS hours
+      FROM moments m ASOF LEFT JOIN extremes e ON m.punto_id = e.punto_id AND m.ts < e.ts)
+    SELECT punto_id, zona_id, ts AS timestamp_forecast, TIMESTAMP '2024-01-01' AS run_ts, h AS altura_marea_m,
            hours AS horas_hasta_cambio_marea, kind AS tipo_proximo_cambio, 'marea' AS source, DATE '2024-01-01' AS run_date
     FROM n WHERE h <= 6 AND (hours IS NULL OR hours <= 12)
     """,
@@ -80,13 +79,13 @@ def silver_tide_series(t):
     f"""
     WITH {TIDE_MOMENTS},
     d AS (
-      SELECT punto_id, CAST(at AS DATE) AS day, max(h) FILTER (WHERE kind = 'HIGH') - min(h) FILTER (WHERE kind = 'LOW') AS amp
+      SELECT punto_id, CAST(ts AS DATE) AS day, max(h) FILTER (WHERE kind = 'HIGH') - min(h) FILTER (WHERE kind = 'LOW') AS amp
       FROM extremes GROUP BY ALL)
-    SELECT e.punto_id, e.zona_id, e.at AS timestamp_extremo, TIMESTAMP '2024-01-01' AS run_ts, e.h AS altura_m,
+    SELECT e.punto_id, e.zona_id, e.ts AS timestamp_extremo, TIMESTAMP '2024-01-01' AS run_ts, e.h AS altura_m,
            e.kind AS tipo, d.amp AS amplitud_dia_m,
            CASE WHEN amp >= 2 THEN 3 WHEN amp >= 0.5 THEN 2 ELSE 1 END AS calidad_estrellas,
            'marea' AS source, DATE '2024-01-01' AS run_date
-    FROM extremes e JOIN d ON e.punto_id = d.punto_id AND CAST(e.at AS DATE) = d.day
+    FROM extremes e JOIN d ON e.punto_id = d.punto_id AND CAST(e.ts AS DATE) = d.day
     """,
 )
 def silver_tide_extremes(t):
@@ -165,9 +164,10 @@ def gold_sql(run: str, as_of: str, hours: int, days: int | None, grid_days: int
       LEFT JOIN m ON m.zona_id = base.zona_id AND m.timestamp_forecast = base.timestamp_forecast
       LEFT JOIN g ON g.zona_id = base.zona_id AND g.day = CAST(base.timestamp_forecast AS DATE)),
     gold AS (
-      SELECT *, round(coalesce(precipitation_mm, 0) + coalesce(lead(precipitation_mm, 1) OVER z, 0)
-                      + coalesce(lead(precipitation_mm, 2) OVER z, 0), 1) AS precipitation_3h_mm
-      FROM joined WINDOW z AS (PARTITION BY zona_id ORDER BY timestamp_forecast))"""
+      SELECT * EXCLUDE (rain), {rounded("rain", 1)} AS precipitation_3h_mm
+      FROM (SELECT *, coalesce(precipitation_mm, 0) + coalesce(lead(precipitation_mm, 1) OVER z, 0)
+                      + coalesce(lead(precipitation_mm, 2) OVER z, 0) AS rain
+            FROM joined WINDOW z AS (PARTITION BY zona_id ORDER BY timestamp_forecast)))"""
 
 
 GOLD = gold_sql("week", AS_OF, 72, 2, 3)
@@ -272,10 +272,10 @@ ROUNDED = [
                 WHEN risk_score < 40 THEN 'PRECAUCION' ELSE 'PELIGRO' END AS safety_level,
            wave_height_m, wind_speed_ms, air_temperature_c, precipitation_mm, precipitation_3h_mm, visibility_km,
            altura_marea_m, temperatura_mar_c, salinidad_psu, corriente_speed_ms,
-           round(avg(wave_height_m) OVER d, 6) AS wave_height_mean_24h, max(wave_height_m) OVER d AS wave_height_max_24h,
-           round(stddev_samp(wave_height_m) OVER d, 6) AS wave_height_std_24h,
-           round(avg(wind_speed_ms) OVER d, 6) AS wind_speed_mean_24h, max(wind_speed_ms) OVER d AS wind_speed_max_24h,
-           round(sum(precipitation_mm) OVER d, 6) AS precipitation_sum_24h,
+           round(avg(wave_height_m) OVER d, 8) AS wave_height_mean_24h, max(wave_height_m) OVER d AS wave_height_max_24h,
+           round(stddev_samp(wave_height_m) OVER d, 8) AS wave_height_std_24h,
+           round(avg(wind_speed_ms) OVER d, 8) AS wind_speed_mean_24h, max(wind_speed_ms) OVER d AS wind_speed_max_24h,
+           round(sum(precipitation_mm) OVER d, 8) AS precipitation_sum_24h,
            max(wave_height_m) OVER q AS wave_height_max_6h, max(wind_speed_ms) OVER q AS wind_speed_max_6h,
            lag(wave_height_m, 1) OVER z AS wave_height_lag_1h, lag(wave_height_m, 3) OVER z AS wave_height_lag_3h,
            lag(wave_height_m, 6) OVER z AS wave_height_lag_6h, lag(wave_height_m, 12) OVER z AS wave_height_lag_12h,
@@ -294,7 +294,7 @@ ROUNDED = [
 )
 def features_ml(t):
     rows = features(_gold_month(t))
-    return rows.withColumns({c: F.round(c, 6) for c in ROUNDED})
+    return rows.withColumns({c: F.round(c, 8) for c in ROUNDED})
 
 
 def _guesses(t):
@@ -336,8 +336,8 @@ def error_table_query(t):
     "temporal_split",
     """
     WITH r AS (SELECT o_orderdate, row_number() OVER (ORDER BY o_orderdate) - 1 AS i, count(*) OVER () AS n FROM orders),
-    cut AS (SELECT min(o_orderdate) AS at FROM r WHERE i = CAST(floor(n * 0.8::DOUBLE) AS BIGINT))
-    SELECT CASE WHEN o_orderdate < (SELECT at FROM cut) THEN 'train' ELSE 'test' END AS side, count(*) AS n,
+    cut AS (SELECT min(o_orderdate) AS cut_ts FROM r WHERE i = CAST(floor(n * 0.8::DOUBLE) AS BIGINT))
+    SELECT CASE WHEN o_orderdate < (SELECT cut_ts FROM cut) THEN 'train' ELSE 'test' END AS side, count(*) AS n,
            min(o_orderdate) AS first_ts, max(o_orderdate) AS last_ts
     FROM orders GROUP BY 1
     """,
@@ -359,5 +359,3 @@ def risk_model_record(t):
     """Fit the linear baseline on the first 80 % of the hours and report its figures on the rest (no SQL form)."""
     run = train(features(_gold_month(t), MONTH_START), MONTH_START, ModelParams(kind="LR"), run_id="baseline")
     return run.record
-
-

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidewright.catalog.registry import query
-from tidewright.catalog.standins import LANDED, READINGS, WORDS, landed, readings, tide_replies
+from tidewright.catalog.standins import LANDED, READINGS, TURN_WORDS, landed, readings, tide_replies
 from tidewright.operators.aggregates import coverage
 from tidewright.operators.quality import (
     TIDE_SUITE,
@@ -140,11 +140,11 @@ def dq_report(t):
 @query(
     "dq_replies",
     f"""
-    WITH {WORDS},
-    points AS (SELECT lang, doc_id, count(*) AS n, (count(*) - 1) * 600 / 3600.0 AS hours FROM words GROUP BY ALL),
+    WITH {TURN_WORDS},
+    points AS (SELECT zona_id, punto_id, count(*) AS n, (count(*) - 1) * 600 / 3600.0 AS hours FROM words GROUP BY ALL),
     f AS (
-      SELECT lang AS zona_id, count(*) AS puntos_cnt, count(*) FILTER (WHERE n < 48 OR hours < 47) AS bad_puntos
-      FROM points GROUP BY lang)
+      SELECT zona_id, count(*) AS puntos_cnt, count(*) FILTER (WHERE n < 48 OR hours < 47) AS bad_puntos
+      FROM points GROUP BY zona_id)
     SELECT zona_id, puntos_cnt, bad_puntos, CAST(0 AS BIGINT) AS dup_keys,
            CASE WHEN puntos_cnt = 30 AND bad_puntos = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
            nullif(concat_ws('; ',
@@ -169,7 +169,7 @@ def dq_replies(t):
       SELECT path, count(DISTINCT zona_id) AS puntos_cnt, count(*) FILTER (WHERE c > 1) AS dup_keys,
              sum(c) FILTER (WHERE zona_id IS NULL) AS nulls,
              list_sort(list_filter(['0', '1', '2', '3', '4', '5'],
-               z -> NOT list_contains(list(DISTINCT zona_id) FILTER (WHERE zona_id IS NOT NULL), z))) AS missing
+               lambda z: NOT list_contains(list(DISTINCT zona_id) FILTER (WHERE zona_id IS NOT NULL), z))) AS missing
       FROM keys GROUP BY path)
     SELECT path, puntos_cnt, len(missing) AS bad_puntos, dup_keys,
            CASE WHEN coalesce(nulls, 0) = 0 AND puntos_cnt >= 3 AND dup_keys = 0 THEN 'PASS' ELSE 'FAIL' END AS status,

@@ -7,10 +7,12 @@ from tidewright.catalog.standins import (
     LANDED,
     READINGS,
     SCORED,
+    TURN_WORDS,
     WORDS,
     ZONE_HOURS,
     landed,
     readings,
+    rounded,
     scored,
     tide_replies,
     zone_hours,
@@ -69,15 +71,14 @@ def bbox_build(t):
 @query(
     "array_stats",
     f"""
-    WITH {WORDS}
-    SELECT CAST(doc_id AS VARCHAR) AS punto_id,
-           min(h) AS altura_min_m, max(h) AS altura_max_m, round(avg(h), 2) AS altura_prom_m,
+    WITH {TURN_WORDS}
+    SELECT punto_id, min(h) AS altura_min_m, max(h) AS altura_max_m, {rounded("avg(h)", 2)} AS altura_prom_m,
            max(h) - min(h) AS rango_marea_m,
            count(*) FILTER (WHERE h >= 9) AS total_pleamares,
            count(*) FILTER (WHERE h <= 2) AS total_bajamares,
            max(h) FILTER (WHERE h >= 9) AS altura_maxima_pleamar_m,
            min(h) FILTER (WHERE h <= 2) AS altura_minima_bajamar_m
-    FROM words GROUP BY doc_id
+    FROM words GROUP BY punto_id
     """,
 )
 def array_stats(t):

@@ -1,7 +1,7 @@
 """The given tables in the roles of the feeds, in Spark and as SQL text.
 
-``events`` plays readings (zone = event type, point = user), ``documents`` plays replies with arrays
-(words are moments), ``lineitem`` plays grid cells. Measures are multiples of powers of two, so sums
+``events`` plays readings (zone = event type, point = user), ``conversations`` plays replies with
+arrays (a turn is a point, its words are moments), ``lineitem`` plays grid cells. Measures are multiples of powers of two, so sums
 are exact and do not depend on the order in which rows are added.
 """
 
@@ -152,7 +152,7 @@ risked AS (
 
 
 def tide_replies(t: Tables) -> DataFrame:
-    """Documents as tide replies: each word is a moment, its length the height; long and short words are extremes."""
+    """Conversation turns as tide replies: each word is a moment, its length the height; long and short words are extremes."""
     words = F.split("text", " ")
 
     def state(height):
@@ -169,9 +169,9 @@ def tide_replies(t: Tables) -> DataFrame:
         )
 
     moments = F.transform(words, moment)
-    return t.documents.select(
-        F.col("doc_id").cast("string").alias("punto_id"),
-        F.col("lang").alias("zona_id"),
+    return t.conversations.select(
+        F.concat_ws("-", "conv_id", "turn").alias("punto_id"),
+        F.col("role").alias("zona_id"),
         F.lit("2024-01-01T00:00:00").alias("timestamp_ingesta"),
         F.struct(
             moments.alias("heights"),
@@ -185,9 +185,19 @@ WORDS = """words AS (
   FROM (SELECT doc_id, lang, unnest(string_split(text, ' ')) AS w,
                generate_subscripts(string_split(text, ' '), 1) AS i FROM documents))"""
 
+TURN_WORDS = """words AS (
+  SELECT punto_id, role AS zona_id, i - 1 AS i, CAST(length(w) AS DOUBLE) AS h
+  FROM (SELECT conv_id || '-' || turn AS punto_id, role, unnest(string_split(text, ' ')) AS w,
+               generate_subscripts(string_split(text, ' '), 1) AS i FROM conversations))"""
+
+
+def rounded(value: str, digits: int) -> str:
+    """SQL that rounds the shortest decimal form of a double half up, which is what Spark's ``round`` does."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
 
 def weather_replies(t: Tables) -> DataFrame:
-    """Documents as weather replies: each word is an hour whose values come from its length and place."""
+    """Conversation turns as weather replies: each word is an hour whose values come from its length and place."""
     names = {"waveHeight": 1, "windSpeed": 2, "airTemperature": 3, "precipitation": 4, "cloudCover": 5, "visibility": 6}
 
     def hour(word, i):
@@ -199,9 +209,9 @@ def weather_replies(t: Tables) -> DataFrame:
         ]
         return F.struct(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss").alias("time"), *values)
 
-    return t.documents.select(
-        F.col("doc_id").cast("string").alias("punto_id"),
-        F.col("lang").alias("zona_id"),
+    return t.conversations.select(
+        F.concat_ws("-", "conv_id", "turn").alias("punto_id"),
+        F.col("role").alias("zona_id"),
         F.lit("2024-01-01T00:00:00").alias("timestamp_ingesta"),
         F.struct(F.transform(F.split("text", " "), hour).alias("hours")).alias("raw_data"),
     )

@@ -82,7 +82,8 @@ def build(params: ModelParams = ModelParams()) -> Pipeline:
     elif params.kind == "RF":
         model = RandomForestRegressor(numTrees=params.trees, maxDepth=params.depth, seed=params.seed, **shared)
     elif params.kind == "LR":
-        model = LinearRegression(**shared)
+        # A trace of regularisation keeps the closed form solvable when features are collinear.
+        model = LinearRegression(solver="normal", regParam=1e-6, **shared)
     else:
         raise ValueError(f"unknown model kind: {params.kind}")
     return Pipeline(stages=[codes, vector, model])
@@ -151,7 +152,9 @@ def train(
 ) -> Training:
     """Split, fit, evaluate and record. With ``save_to`` the model goes to that folder under its run id."""
     spark = features.sparkSession
-    rows = training_frame(features)
+    # Fitting reads its rows many times: compute them once, into the shared checkpoint folder.
+    checkpoint_dir(spark)
+    rows = training_frame(features.checkpoint())
     earlier, later = temporal_split(rows, "timestamp_forecast", train_share)
     model = fit_risk_model(earlier, params)
     sides = {

@@ -188,6 +188,7 @@ def values_at_ranks(df: DataFrame, col: str, ranks: list[int], bins: int = 1024)
     are only counted, and the rank is then settled on the distinct values inside it, bin by bin. No
     task sorts or holds the whole column. Timestamps are returned as microseconds.
     """
+    spark = df.sparkSession
     is_time = df.schema[col].dataType.typeName().startswith("timestamp")
     number = F.unix_micros(F.col(col).cast("timestamp")) if is_time else F.col(col)
     data = df.select(number.alias("v")).where(F.col("v").isNotNull())
@@ -203,39 +204,33 @@ def values_at_ranks(df: DataFrame, col: str, ranks: list[int], bins: int = 1024)
         F.min("v").alias("least"),
         F.max("v").alias("most"),
     ).first()
-    brackets = [
-        (
-            sketch["least"] if share[0] == 0.0 else sketch["q"][2 * i],
-            sketch["most"] if share[1] == 1.0 else sketch["q"][2 * i + 1],
-        )
-        for i, share in enumerate(shares)
-    ]
-    counted = data.agg(*[F.count_if(F.col("v") < low).alias(f"b{i}") for i, (low, _) in enumerate(brackets)]).first()
-
-    def settle(i: int, rank: int) -> DataFrame:
-        low, high = brackets[i]
-        width = (high - low) / bins if high > low else 1
-        counts = (
-            data.where(F.col("v").between(F.lit(low), F.lit(high)))
-            .groupBy("v")
-            .agg(F.count(F.lit(1)).alias("c"))
-            .withColumn("bin", F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(bins - 1)))
-        )
-        sizes = counts.groupBy("bin").agg(F.sum("c").alias("size"))
-        # At most ``bins`` rows reach this window.
-        offsets = sizes.withColumn("upto", F.sum("size").over(Window.orderBy("bin"))).select(
-            "bin", (F.col("upto") - F.col("size")).alias("offset")
-        )
-        within = F.sum("c").over(Window.partitionBy("bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-        ranked = counts.join(offsets, "bin").withColumn("last", F.col("offset") + within + F.lit(counted[f"b{i}"] - 1))
-        holds = (F.col("last") >= rank) & (F.col("last") - F.col("c") < rank)
-        value = F.max(F.when(holds, F.col("v")))
-        missed = F.raise_error(F.lit(f"rank {rank} of {col} is outside its bracket")).cast(data.schema["v"].dataType)
-        return ranked.agg(value.alias("value")).select(
-            F.lit(rank).cast("bigint").alias("rank"), F.coalesce("value", missed).alias("value")
-        )
+    lows, highs = [], []
+    for i, (start, end) in enumerate(shares):
+        lows.append(sketch["least"] if start == 0.0 else sketch["q"][2 * i])
+        highs.append(sketch["most"] if end == 1.0 else sketch["q"][2 * i + 1])
+    counted = data.agg(*[F.count_if(F.col("v") < low).alias(f"b{i}") for i, low in enumerate(lows)]).first()
+    brackets = spark.createDataFrame(
+        [(i, r, float(lows[i]), float((highs[i] - lows[i]) / bins) or 1.0, counted[f"b{i}"]) for i, r in enumerate(ranks)],
+        "i int, rank bigint, low double, width double, below bigint",
+    )
 
-    return reduce(DataFrame.unionByName, [settle(i, r) for i, r in enumerate(ranks)])
+    # One small row per bracket; a value may fall into several of them.
+    member = F.array(*[F.when(F.col("v").between(F.lit(a), F.lit(b)), F.lit(i)) for i, (a, b) in enumerate(zip(lows, highs))])
+    inside = data.withColumn("i", F.explode(F.array_compact(member))).groupBy("i", "v").agg(F.count(F.lit(1)).alias("c"))
+    binned = inside.join(brackets, "i").withColumn(
+        "bin", F.least(F.floor((F.col("v") - F.col("low")) / F.col("width")), F.lit(bins - 1))
+    )
+    sizes = binned.groupBy("i", "bin").agg(F.sum("c").alias("size"))
+    # At most ``bins`` rows per rank reach this window.
+    offsets = sizes.withColumn("upto", F.sum("size").over(Window.partitionBy("i").orderBy("bin"))).select(
+        "i", "bin", (F.col("upto") - F.col("size")).alias("offset")
+    )
+    within = F.sum("c").over(Window.partitionBy("i", "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = binned.join(offsets, ["i", "bin"]).withColumn("last", F.col("below") + F.col("offset") + within - 1)
+    holds = (F.col("last") >= F.col("rank")) & (F.col("last") - F.col("c") < F.col("rank"))
+    settled = ranked.groupBy("rank").agg(F.max(F.when(holds, F.col("v"))).alias("value"))
+    missed = F.raise_error(F.lit(f"a rank of {col} lies outside its bracket")).cast(data.schema["v"].dataType)
+    return settled.select("rank", F.coalesce("value", missed).alias("value"))
 
 
 def quartiles(df: DataFrame, cols: list[str], shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
