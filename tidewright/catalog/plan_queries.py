@@ -253,9 +253,8 @@ def serving_favourable(t):
     return favourable_view(_gold_month(t), MONTH_START, MONTH_HOURS)
 
 
-ROUNDED = [
-    "wave_height_mean_24h", "wave_height_std_24h", "wind_speed_mean_24h", "precipitation_sum_24h",
-]
+# Metrics at a fixed resolution, so that trailing sums are exact in any order of addition.
+RESOLUTION = {"wave_height_m": 64, "wind_speed_ms": 4, "precipitation_mm": 1}
 
 
 @query(
@@ -265,17 +264,18 @@ ROUNDED = [
     p AS (SELECT *, wind_speed_ms * 1.94384::DOUBLE AS wind_speed_kts,
                  sqrt(coalesce(corriente_u_ms, 0) * coalesce(corriente_u_ms, 0)
                       + coalesce(corriente_v_ms, 0) * coalesce(corriente_v_ms, 0)) AS corriente_speed_ms
-          FROM gold),
+          FROM (SELECT * REPLACE (floor(wave_height_m * 64) / 64 AS wave_height_m, floor(wind_speed_ms * 4) / 4 AS wind_speed_ms,
+                                  floor(precipitation_mm) AS precipitation_mm) FROM gold)),
     s AS (SELECT *, {RISK} AS risk_score FROM p)
     SELECT zona_id, timestamp_forecast, risk_score,
            CASE WHEN coalesce(visibility_km, 100) < 1 THEN 'PELIGRO' WHEN risk_score < 20 THEN 'SEGURO'
                 WHEN risk_score < 40 THEN 'PRECAUCION' ELSE 'PELIGRO' END AS safety_level,
            wave_height_m, wind_speed_ms, air_temperature_c, precipitation_mm, precipitation_3h_mm, visibility_km,
            altura_marea_m, temperatura_mar_c, salinidad_psu, corriente_speed_ms,
-           round(avg(wave_height_m) OVER d, 8) AS wave_height_mean_24h, max(wave_height_m) OVER d AS wave_height_max_24h,
-           round(stddev_samp(wave_height_m) OVER d, 8) AS wave_height_std_24h,
-           round(avg(wind_speed_ms) OVER d, 8) AS wind_speed_mean_24h, max(wind_speed_ms) OVER d AS wind_speed_max_24h,
-           round(sum(precipitation_mm) OVER d, 8) AS precipitation_sum_24h,
+           avg(wave_height_m) OVER d AS wave_height_mean_24h, max(wave_height_m) OVER d AS wave_height_max_24h,
+           round(stddev_samp(wave_height_m) OVER d, 6) AS wave_height_std_24h,
+           avg(wind_speed_ms) OVER d AS wind_speed_mean_24h, max(wind_speed_ms) OVER d AS wind_speed_max_24h,
+           sum(precipitation_mm) OVER d AS precipitation_sum_24h,
            max(wave_height_m) OVER q AS wave_height_max_6h, max(wind_speed_ms) OVER q AS wind_speed_max_6h,
            lag(wave_height_m, 1) OVER z AS wave_height_lag_1h, lag(wave_height_m, 3) OVER z AS wave_height_lag_3h,
            lag(wave_height_m, 6) OVER z AS wave_height_lag_6h, lag(wave_height_m, 12) OVER z AS wave_height_lag_12h,
@@ -293,8 +293,9 @@ ROUNDED = [
     """,
 )
 def features_ml(t):
-    rows = features(_gold_month(t))
-    return rows.withColumns({c: F.round(c, 8) for c in ROUNDED})
+    coarse = {c: F.floor(F.col(c) * n) / F.lit(float(n)) for c, n in RESOLUTION.items()}
+    rows = features(_gold_month(t).withColumns(coarse))
+    return rows.withColumn("wave_height_std_24h", F.round("wave_height_std_24h", 6))
 
 
 def _guesses(t):

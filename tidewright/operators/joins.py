@@ -70,7 +70,9 @@ def next_event(
     unmatched = -F.pmod(F.xxhash64(*left.columns), F.lit(4096)) - F.lit(1_000_000_000_000)
     readings = left.withColumn(SLICE, F.coalesce(slice_of(left_ts, slice_seconds), unmatched))
 
-    carried = _first_event_after_slice(readings, events, by)
+    placed = left.where(key_known & F.col(left_ts).isNotNull())
+    wanted = placed.select(*by, slice_of(left_ts, slice_seconds).alias(SLICE)).distinct()
+    carried = _first_event_after_slice(wanted, events, by)
     timeline = readings.withColumns({"_at": F.col(left_ts), "_is_event": F.lit(0)}).unionByName(
         events.unionByName(carried).withColumns({"_at": F.col("_event.at"), "_is_event": F.lit(1)}),
         allowMissingColumns=True,
@@ -90,9 +92,9 @@ def next_event(
     )
 
 
-def _first_event_after_slice(readings: DataFrame, events: DataFrame, by: list[str]) -> DataFrame:
-    """For each slice that has readings, the earliest event of the key in any later slice."""
-    wanted = readings.select(*by, SLICE).distinct().withColumn("_wanted", F.lit(1))
+def _first_event_after_slice(wanted: DataFrame, events: DataFrame, by: list[str]) -> DataFrame:
+    """For each wanted slice, the earliest event of the key in any later slice."""
+    wanted = wanted.withColumn("_wanted", F.lit(1))
     heads = events.groupBy(*by, SLICE).agg(F.min("_event").alias("_event")).withColumn("_wanted", F.lit(0))
     backwards = (
         Window.partitionBy(*by)

@@ -243,10 +243,16 @@ def trailing_stats(
     columns = list(dict.fromkeys(c for c, _, _ in specs.values()))
 
     position = -epoch_seconds(ts) if forward else epoch_seconds(ts)
-    own = df.withColumns({"_pos": position, "_copy": F.lit(0)})
-    moved = own.select(*by, *columns, "_pos", F.explode(F.array(*[F.lit(w) for w in widths])).alias("_copy"))
-    moved = moved.withColumn("_pos", F.col("_pos") + F.col("_copy"))
-    line = own.unionByName(moved, allowMissingColumns=True).withColumn("_block", F.floor(F.col("_pos") / widest))
+    # One pass over the input: the row itself and one moved copy per frame length. Copies only carry
+    # the keys and the measured columns.
+    carried = {*by, *columns}
+    line = df.withColumn("_copy", F.explode(F.array(*[F.lit(w) for w in (0, *widths)])))
+    line = line.select(
+        *[F.col(c) if c in carried else F.when(F.col("_copy") == 0, F.col(c)).alias(c) for c in df.columns],
+        "_copy",
+        (position + F.col("_copy")).alias("_pos"),
+    )
+    line = line.withColumn("_block", F.floor(F.col("_pos") / widest))
 
     pieces: dict[str, Column] = {}
     results: dict[str, Column] = {}

@@ -36,21 +36,24 @@ def gold_zone_hour(
     Weather and tide define which hours exist. The grid has one value per day and lags by one, so
     each day takes the newest run that has data for it.
     """
-    weather_zone = agg_zone_hour(
-        latest_run(_recent(weather, as_of, lookback_days)), ZONE_METRICS, ZONE_HOUR, "punto_id", "run_ts"
-    )
+    # The time window is put on the facts themselves, where it reaches the scan. A tide reading counts
+    # for the hour it falls into, so its last hour may run past the window until it is truncated.
+    weather_rows = in_horizon(latest_run(_recent(weather, as_of, lookback_days)), "timestamp_forecast", as_of, hours)
+    weather_zone = agg_zone_hour(weather_rows, ZONE_METRICS, ZONE_HOUR, "punto_id", "run_ts")
+
+    tide_rows = in_horizon(latest_run(_recent(tide, as_of, lookback_days)), "timestamp_forecast", as_of, hours + 1)
     tide_zone = agg_tide_hour(
-        latest_run(_recent(tide, as_of, lookback_days)),
-        "zona_id", "timestamp_forecast", "altura_marea_m", "tipo_proximo_cambio", "run_ts",
+        tide_rows, "zona_id", "timestamp_forecast", "altura_marea_m", "tipo_proximo_cambio", "run_ts"
     )
-    dated = _recent(grid, as_of, grid_lookback_days).withColumn("_day", F.to_date("timestamp_forecast"))
+    tide_zone = in_horizon(tide_zone, "timestamp_forecast", as_of, hours)
+
+    first_day = F.date_trunc("day", as_literal(as_of))
+    grid_rows = in_horizon(_recent(grid, as_of, grid_lookback_days), "timestamp_forecast", first_day, hours + 24)
+    dated = grid_rows.withColumn("_day", F.to_date("timestamp_forecast"))
     grid_day = agg_grid(
         best_run(dated, ["zona_id", "_day"], "run_ts", ties), ["zona_id", "_day"], list(GRID_VALUES.values()), "run_ts"
     )
 
-    # The window is applied to every side before the joins, so only its hours are shuffled.
-    weather_zone = in_horizon(weather_zone, "timestamp_forecast", as_of, hours)
-    tide_zone = in_horizon(tide_zone, "timestamp_forecast", as_of, hours)
     universe = key_universe([weather_zone, tide_zone], ZONE_HOUR)
     joined = integrate(universe, [weather_zone, tide_zone], ZONE_HOUR)
     gold = join_daily(joined, grid_day, "zona_id", "timestamp_forecast", "_day")
