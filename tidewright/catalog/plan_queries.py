@@ -273,7 +273,7 @@ RESOLUTION = {"wave_height_m": 64, "wind_speed_ms": 4, "precipitation_mm": 1}
            wave_height_m, wind_speed_ms, air_temperature_c, precipitation_mm, precipitation_3h_mm, visibility_km,
            altura_marea_m, temperatura_mar_c, salinidad_psu, corriente_speed_ms,
            avg(wave_height_m) OVER d AS wave_height_mean_24h, max(wave_height_m) OVER d AS wave_height_max_24h,
-           round(stddev_samp(wave_height_m) OVER d, 6) AS wave_height_std_24h,
+           round(stddev_samp(wave_height_m) OVER d, 9) AS wave_height_std_24h,
            avg(wind_speed_ms) OVER d AS wind_speed_mean_24h, max(wind_speed_ms) OVER d AS wind_speed_max_24h,
            sum(precipitation_mm) OVER d AS precipitation_sum_24h,
            max(wave_height_m) OVER q AS wave_height_max_6h, max(wind_speed_ms) OVER q AS wind_speed_max_6h,
@@ -295,7 +295,7 @@ RESOLUTION = {"wave_height_m": 64, "wind_speed_ms": 4, "precipitation_mm": 1}
 def features_ml(t):
     coarse = {c: F.floor(F.col(c) * n) / F.lit(float(n)) for c, n in RESOLUTION.items()}
     rows = features(_gold_month(t).withColumns(coarse))
-    return rows.withColumn("wave_height_std_24h", F.round("wave_height_std_24h", 6))
+    return rows.withColumn("wave_height_std_24h", F.round("wave_height_std_24h", 9))
 
 
 def _guesses(t):
