@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 from tidewright.functions.scalars import as_literal
 from tidewright.operators.quality import file_schemas, has_field
 from tidewright.operators.windows import top_n
-from tidewright.sources.feeds import latest_partition, path_date
+from tidewright.sources.feeds import latest_partition
 
 STORED = "source string, schema_fp string, schema_json string, updated_at timestamp"
 
@@ -74,7 +76,7 @@ def refresh_contracts(
         wanted = (required_fields or {}).get(source)
         present = None
         if wanted and row and row["schema_json"]:
-            present = has_field(T.StructType.fromJson(_loads(row["schema_json"])), wanted)
+            present = has_field(T.StructType.fromJson(json.loads(row["schema_json"])), wanted)
         report.append(
             (source, status, row["path_date"] if row else None, was["schema_fp"] if was else None, fp,
              (was["schema_fp"] != fp) if was and fp else None, present, problem)
@@ -84,12 +86,3 @@ def refresh_contracts(
         "source string, status string, path_date date, old_fp string, new_fp string, "
         "schema_changed boolean, field_present boolean, problem string",
     )
-
-
-def _loads(text: str) -> dict:
-    import json
-
-    return json.loads(text)
-
-
-__all__ = ["path_date", "read_contracts", "refresh_contracts"]
