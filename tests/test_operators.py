@@ -114,14 +114,15 @@ def test_lags_and_forward_sum_are_the_same_sliced_or_not(spark, seconds):
             assert summed[row[0]] == sum(values[i : i + 3])
 
 
-def test_trailing_stats_equal_brute_force(spark):
+@pytest.mark.parametrize("collapse", [False, True])
+def test_trailing_stats_equal_brute_force(spark, collapse):
     data = [(i, k, t, v if i % 7 else None) for i, k, t, v in timeline(11, n=500)]
     df = spark.createDataFrame(data, "id int, k string, ts timestamp, v double")
     specs = {}
     for seconds in (24 * 3600, 6 * 3600, 5 * 3600):
         for stat in ("mean", "sum", "max", "min", "std"):
             specs[f"{stat}_{seconds}"] = ("v", stat, seconds)
-    found = {r["id"]: r for r in trailing_stats(df, ["k"], "ts", specs).collect()}
+    found = {r["id"]: r for r in trailing_stats(df, ["k"], "ts", specs, collapse=collapse).collect()}
     assert len(found) == len(data)
     for i, key, ts, _ in data:
         for name, (_, stat, seconds) in specs.items():

@@ -9,6 +9,7 @@ from tidewright.operators.joins import (
     assign_band,
     assign_zone,
     integrate,
+    integrate_all,
     join_daily,
     missing_keys,
     next_event,
@@ -50,6 +51,28 @@ def integrate_feeds(t):
     return integrate(key_universe(feeds, keys), feeds, keys)
 
 
+@query(
+    "integrate_all",
+    f"""
+    WITH {READINGS},
+    v AS (SELECT user_id, CAST(ts AS DATE) AS day, CAST(sum(cents) AS BIGINT) AS view_total FROM readings
+          WHERE event_type = 'view' GROUP BY ALL),
+    p AS (SELECT user_id, CAST(ts AS DATE) AS day, CAST(sum(cents) AS BIGINT) AS purchase_total FROM readings
+          WHERE event_type = 'purchase' GROUP BY ALL),
+    u AS (SELECT user_id, day FROM v UNION SELECT user_id, day FROM p)
+    SELECT u.user_id, u.day, view_total, purchase_total
+    FROM u LEFT JOIN v ON v.user_id = u.user_id AND v.day = u.day LEFT JOIN p ON p.user_id = u.user_id AND p.day = u.day
+    """,
+)
+def integrate_all_query(t):
+    rows = readings(t).select("user_id", F.to_date("ts").alias("day"), "event_type", "cents")
+
+    def feed(kind):
+        return rows.where(F.col("event_type") == kind).groupBy("user_id", "day").agg(F.sum("cents").alias(f"{kind}_total"))
+
+    return integrate_all([feed("view"), feed("purchase")], ["user_id", "day"])
+
+
 @query(
     "daily_broadcast",
     f"""

@@ -197,7 +197,7 @@ def trailing_24h(t):
 def trailing_readings(t):
     rows = readings(t).select("event_id", "event_type", "ts", "cents")
     specs = {"cents_sum": ("cents", "sum", 2 * HOUR), "cents_max": ("cents", "max", 2 * HOUR)}
-    stats = trailing_stats(rows, ["event_type"], "ts", specs).drop("cents")
+    stats = trailing_stats(rows, ["event_type"], "ts", specs, collapse=True).drop("cents")
     return stats.withColumn("cents_sum", F.col("cents_sum").cast("bigint"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from tidewright.functions.scalars import hours_between
 from tidewright.operators.timeline import SLICE, slice_of
 
-DAY = 86_400
+HOUR = 3_600
 
 
 def integrate(universe: DataFrame, feeds: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -24,6 +24,14 @@ def integrate(universe: DataFrame, feeds: list[DataFrame], keys: list[str]) -> D
     return reduce(lambda left, right: left.join(right, keys, "left"), feeds, universe)
 
 
+def integrate_all(feeds: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Every key that occurs in any feed, with the columns of each: the universe and its joins in one step.
+
+    Full outer joins read each feed once; a feed holds at most one row per key.
+    """
+    return reduce(lambda left, right: left.join(right, keys, "full_outer"), feeds)
+
+
 def join_daily(hourly: DataFrame, daily: DataFrame, key: str, ts: str, day: str) -> DataFrame:
     """Spread one value per key and day over all hours of that day."""
     at_day = hourly.withColumn(day, F.to_date(ts))
@@ -50,15 +58,17 @@ def next_event(
     left_ts: str,
     right_ts: str,
     cols: list[str],
-    slice_seconds: int = DAY,
+    slice_seconds: int = HOUR,
     hours: str = "hours_to_event",
 ) -> DataFrame:
     """Each reading with the nearest strictly later event of the same key; readings without one keep NULLs.
 
-    Both sides are laid on one timeline, sorted backwards, and the last event seen so far is taken:
-    one pass, no row blow-up. At equal times the reading sorts first, so it never meets that event.
-    The timeline is cut into slices; an event that lies beyond a slice enters it as one extra row.
-    Readings keep their duplicates. Events that tie on time are resolved by the smallest ``cols``.
+    The answer depends on key and time only, so it is settled once per distinct instant and joined
+    back: copies of a reading, however many, are combined before the shuffle, and a hot join key is
+    split by adaptive execution. Instants and events are laid on one timeline, sorted backwards, and
+    the last event seen so far is taken, without any row blow-up. At equal times the instant sorts
+    first, so it never meets that event. The timeline is cut into slices; an event that lies beyond
+    a slice enters it as one extra row. Events that tie on time are resolved by the smallest ``cols``.
     """
     key_known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by])
     event_row = F.struct(F.col(right_ts).alias("at"), *[F.col(c).alias(c) for c in cols])
@@ -66,14 +76,13 @@ def next_event(
         right.where(key_known & F.col(right_ts).isNotNull())
         .select(*by, slice_of(right_ts, slice_seconds).alias(SLICE), event_row.alias("_event"))
     )
-    # Rows that can match nothing get slices of their own, spread by hash.
-    unmatched = -F.pmod(F.xxhash64(*left.columns), F.lit(4096)) - F.lit(1_000_000_000_000)
-    readings = left.withColumn(SLICE, F.coalesce(slice_of(left_ts, slice_seconds), unmatched))
-
-    placed = left.where(key_known & F.col(left_ts).isNotNull())
-    wanted = placed.select(*by, slice_of(left_ts, slice_seconds).alias(SLICE)).distinct()
-    carried = _first_event_after_slice(wanted, events, by)
-    timeline = readings.withColumns({"_at": F.col(left_ts), "_is_event": F.lit(0)}).unionByName(
+    instants = (
+        left.where(key_known & F.col(left_ts).isNotNull())
+        .select(*by, F.col(left_ts).alias("_at"), slice_of(left_ts, slice_seconds).alias(SLICE))
+        .distinct()
+    )
+    carried = _first_event_after_slice(instants.select(*by, SLICE).distinct(), events, by)
+    timeline = instants.withColumn("_is_event", F.lit(0)).unionByName(
         events.unionByName(carried).withColumns({"_at": F.col("_event.at"), "_is_event": F.lit(1)}),
         allowMissingColumns=True,
     )
@@ -83,8 +92,10 @@ def next_event(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     seen = timeline.withColumn("_next", F.last("_event", ignorenulls=True).over(backwards))
-    matched = seen.where(F.col("_is_event") == 0)
-    return matched.select(
+    settled = seen.where((F.col("_is_event") == 0) & F.col("_next").isNotNull()).select(
+        *by, F.col("_at").alias(left_ts), "_next"
+    )
+    return left.join(settled, [*by, left_ts], "left").select(
         *left.columns,
         F.col("_next.at").alias(right_ts if right_ts not in left.columns else f"next_{right_ts}"),
         *[F.col("_next")[c].alias(c if c not in left.columns else f"next_{c}") for c in cols],

@@ -64,13 +64,18 @@ def since(df: DataFrame, column: str, as_of, days: int | None = None, hours: flo
     return df.where(F.col(column) >= as_literal(as_of, kind) - span)
 
 
-def latest_run(df: DataFrame, run: str = "run_ts") -> DataFrame:
+def latest_run(df: DataFrame, run: str = "run_ts", partition: str | None = None) -> DataFrame:
     """Rows of the newest run only; the whole frame when no row has a run.
 
     The newest run is a scalar subquery over the one column, so nothing passes through the driver.
+    ``partition`` names a stored date of the run: filtering on it too lets the scan skip the
+    partitions of all other days once the subquery is known.
     """
     newest = df.select(F.max(run).alias("newest")).scalar()
-    return df.where((F.col(run) == newest) | newest.isNull())
+    chosen = F.col(run) == newest
+    if partition is not None:
+        chosen = chosen & (F.col(partition) == newest.cast("date"))
+    return df.where(chosen | newest.isNull())
 
 
 def any_present(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -90,6 +95,13 @@ def split_valid(df: DataFrame, rules: dict[str, tuple[float, float]]) -> tuple[D
     return df.where(~bad), df.where(bad)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join in which a missing key part matches a missing key part, as in a window partition."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same, "left").drop(*[f"_right_{k}" for k in keys])
+
+
 def key_universe(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     """Distinct keys over all frames."""
     stacked = reduce(DataFrame.unionByName, [df.select(*keys) for df in frames])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from tidewright.functions.scalars import epoch_seconds
-from tidewright.operators.shape import in_horizon
+from tidewright.operators.shape import in_horizon, join_null_safe
 from tidewright.operators.timeline import CARRIED, SLICE, with_neighbours
 
 HOUR = 3600
@@ -66,18 +66,13 @@ def daily_amplitude(
     out: str = "amplitud_dia_m",
 ) -> DataFrame:
     """Highest HIGH minus lowest LOW of each key and day, on every row of that day; NULL if either is absent."""
-    groups = [F.col(k).alias(f"_{k}") for k in by] + [F.to_date(ts).alias("_day")]
-    daily = ext.groupBy(*groups).agg(
+    dated = ext.withColumn("_day", F.to_date(ts))
+    daily = dated.groupBy(*by, "_day").agg(
         F.max(F.when(F.col(kind).contains("HIGH"), F.col(height))).alias("_high"),
         F.min(F.when(F.col(kind).contains("LOW"), F.col(height))).alias("_low"),
     )
-    daily = daily.select(
-        *[f"_{k}" for k in by], "_day", F.abs(F.col("_high") - F.col("_low")).alias(out)
-    )
-    same = F.to_date(ts).eqNullSafe(F.col("_day"))
-    for k in by:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return ext.join(daily, same, "left").select(*ext.columns, out)
+    span = daily.select(*by, "_day", F.abs(F.col("_high") - F.col("_low")).alias(out))
+    return join_null_safe(dated, span, [*by, "_day"]).select(*ext.columns, out)
 
 
 def _rows_window(df: DataFrame, by, order, values, slice_seconds, before=0, after=0) -> tuple[DataFrame, WindowSpec]:
@@ -228,6 +223,7 @@ def trailing_stats(
     ts: str,
     specs: dict[str, tuple[str, str, int]],
     forward: bool = False,
+    collapse: bool = False,
 ) -> DataFrame:
     """Statistics over trailing time frames, both ends included: ``{output: (column, statistic, seconds)}``.
 
@@ -237,7 +233,12 @@ def trailing_stats(
     of the block before it: the part in the same block is then a running figure read forwards, the
     part in the earlier block a running figure read backwards. Both are single passes, so a frame
     costs the same however many rows it spans, and no task holds more than two frame lengths of a key.
+
+    ``collapse`` is for raw readings with many rows per key and second: they are combined per second
+    before the shuffle, the frames run over at most one row per second, and the figures are joined back.
     """
+    if collapse:
+        return _trailing_collapsed(df, by, ts, specs, forward)
     widths = sorted({seconds for _, _, seconds in specs.values()}, reverse=True)
     widest = widths[0]
     columns = list(dict.fromkeys(c for c, _, _ in specs.values()))
@@ -282,3 +283,40 @@ def trailing_stats(
 
     ran = line.withColumns(pieces).where(F.col("_copy") == 0)
     return ran.withColumns(results).select(*df.columns, *results)
+
+
+def _trailing_collapsed(
+    df: DataFrame, by: list[str], ts: str, specs: dict[str, tuple[str, str, int]], forward: bool
+) -> DataFrame:
+    columns = list(dict.fromkeys(c for c, _, _ in specs.values()))
+    # Deviations are taken from the overall mean, which keeps the squares small.
+    centre = {c: df.select(F.avg(c)).scalar() for c, stat, _ in specs.values() if stat == "std"}
+    partial = []
+    for c in columns:
+        partial += [F.count(c).alias(f"_n_{c}"), F.sum(c).alias(f"_s_{c}"), F.max(c).alias(f"_x_{c}"), F.min(c).alias(f"_i_{c}")]
+        if c in centre:
+            off = F.col(c) - centre[c]
+            partial += [F.sum(off).alias(f"_d_{c}"), F.sum(off * off).alias(f"_q_{c}")]
+    seconds = df.groupBy(*by, F.date_trunc("second", F.col(ts)).alias("_second")).agg(*partial)
+
+    needed = {"mean": "ns", "sum": "s", "max": "x", "min": "i", "std": "ndq"}
+    how = {"n": "sum", "s": "sum", "x": "max", "i": "min", "d": "sum", "q": "sum"}
+    wanted = {
+        f"_{piece}_{c}_{width}": (f"_{piece}_{c}", how[piece], width)
+        for c, stat, width in specs.values()
+        for piece in needed[stat]
+    }
+    ran = trailing_stats(seconds, by, "_second", wanted, forward)
+
+    def figure(c: str, stat: str, width: int) -> Column:
+        part = {piece: F.col(f"_{piece}_{c}_{width}") for piece in needed[stat]}
+        if stat == "mean":
+            return F.when(part["n"] > 0, part["s"] / part["n"])
+        if stat == "std":
+            square = F.greatest(part["q"] - part["d"] * part["d"] / part["n"], F.lit(0.0))
+            return F.when(part["n"] > 1, F.sqrt(square / (part["n"] - 1)))
+        return part[needed[stat]]
+
+    settled = ran.select(*by, "_second", *[figure(*spec).alias(out) for out, spec in specs.items()])
+    timed = df.withColumn("_second", F.date_trunc("second", F.col(ts)))
+    return join_null_safe(timed, settled, [*by, "_second"]).select(*df.columns, *specs)

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tidewright.functions.risk import alert_text, knots, risk_score, safety_level, speed
 from tidewright.functions.scalars import as_literal, minutes_since
 from tidewright.operators.aggregates import agg_grid, agg_tide_hour, agg_zone_hour
-from tidewright.operators.joins import integrate, join_daily
-from tidewright.operators.shape import in_horizon, key_universe, latest_run, since
-from tidewright.operators.windows import best_run, forward_sum, pick_current
+from tidewright.operators.joins import integrate_all, join_daily
+from tidewright.operators.shape import in_horizon, latest_run, since
+from tidewright.operators.windows import best_run, forward_sum, latest_per_key, pick_current
 from tidewright.schemas import CURRENT_COLUMNS, GRID_VALUES, ZONE_HOUR, ZONE_METRICS
 
 
@@ -21,6 +21,21 @@ def _recent(df: DataFrame, as_of, days: int | None) -> DataFrame:
     return since(df, "run_date" if "run_date" in df.columns else "run_ts", as_of, days=days)
 
 
+def _newest(df: DataFrame, as_of, days: int | None) -> DataFrame:
+    partition = "run_date" if "run_date" in df.columns else None
+    return latest_run(_recent(df, as_of, days), "run_ts", partition)
+
+
+def _grid_per_day(dated: DataFrame, ties: str) -> DataFrame:
+    """Mean grid values per zone and day, from the newest run that has data for that day."""
+    keys, values = ["zona_id", "_day"], list(GRID_VALUES.values())
+    if ties != "all":
+        return agg_grid(best_run(dated, keys, "run_ts", ties), keys, values, "run_ts")
+    # Cells are averaged per run first: one pass over the cells, and few rows left to choose from.
+    per_run = agg_grid(dated, [*keys, "run_ts"], values, "run_ts")
+    return latest_per_key(per_run, keys, ["run_ts"]).drop("run_ts")
+
+
 def gold_zone_hour(
     weather: DataFrame,
     tide: DataFrame,
@@ -38,10 +53,10 @@ def gold_zone_hour(
     """
     # The time window is put on the facts themselves, where it reaches the scan. A tide reading counts
     # for the hour it falls into, so its last hour may run past the window until it is truncated.
-    weather_rows = in_horizon(latest_run(_recent(weather, as_of, lookback_days)), "timestamp_forecast", as_of, hours)
+    weather_rows = in_horizon(_newest(weather, as_of, lookback_days), "timestamp_forecast", as_of, hours)
     weather_zone = agg_zone_hour(weather_rows, ZONE_METRICS, ZONE_HOUR, "punto_id", "run_ts")
 
-    tide_rows = in_horizon(latest_run(_recent(tide, as_of, lookback_days)), "timestamp_forecast", as_of, hours + 1)
+    tide_rows = in_horizon(_newest(tide, as_of, lookback_days), "timestamp_forecast", as_of, hours + 1)
     tide_zone = agg_tide_hour(
         tide_rows, "zona_id", "timestamp_forecast", "altura_marea_m", "tipo_proximo_cambio", "run_ts"
     )
@@ -49,13 +64,9 @@ def gold_zone_hour(
 
     first_day = F.date_trunc("day", as_literal(as_of))
     grid_rows = in_horizon(_recent(grid, as_of, grid_lookback_days), "timestamp_forecast", first_day, hours + 24)
-    dated = grid_rows.withColumn("_day", F.to_date("timestamp_forecast"))
-    grid_day = agg_grid(
-        best_run(dated, ["zona_id", "_day"], "run_ts", ties), ["zona_id", "_day"], list(GRID_VALUES.values()), "run_ts"
-    )
+    grid_day = _grid_per_day(grid_rows.withColumn("_day", F.to_date("timestamp_forecast")), ties)
 
-    universe = key_universe([weather_zone, tide_zone], ZONE_HOUR)
-    joined = integrate(universe, [weather_zone, tide_zone], ZONE_HOUR)
+    joined = integrate_all([weather_zone, tide_zone], ZONE_HOUR)
     gold = join_daily(joined, grid_day, "zona_id", "timestamp_forecast", "_day")
     gold = gold.withColumn("updated_at", as_literal(as_of, gold.schema["timestamp_forecast"].dataType))
     return forward_sum(gold, ["zona_id"], "timestamp_forecast", "precipitation_mm", 2, 1, "precipitation_3h_mm")
