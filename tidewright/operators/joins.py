@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from tidewright.functions.scalars import hours_between
 from tidewright.operators.timeline import SLICE, slice_of
@@ -58,24 +58,44 @@ def next_event(
     left_ts: str,
     right_ts: str,
     cols: list[str],
-    slice_seconds: int = HOUR,
+    slice_seconds: int | None = HOUR,
     hours: str = "hours_to_event",
 ) -> DataFrame:
     """Each reading with the nearest strictly later event of the same key; readings without one keep NULLs.
 
     The answer depends on key and time only, so it is settled once per distinct instant and joined
-    back: copies of a reading, however many, are combined before the shuffle, and a hot join key is
-    split by adaptive execution. Instants and events are laid on one timeline, sorted backwards, and
+    back: copies of a reading or an event, however many, are combined before the shuffle, and a hot join
+    key is split by adaptive execution. Instants and events are laid on one timeline, sorted backwards, and
     the last event seen so far is taken, without any row blow-up. At equal times the instant sorts
     first, so it never meets that event. The timeline is cut into slices; an event that lies beyond
     a slice enters it as one extra row. Events that tie on time are resolved by the smallest ``cols``.
+
+    ``slice_seconds=None`` is for keys whose groups are small by construction, such as one forecast
+    run of one point without duplicates: readings and events are then read once and sorted once.
     """
     key_known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by])
     event_row = F.struct(F.col(right_ts).alias("at"), *[F.col(c).alias(c) for c in cols])
-    events = (
-        right.where(key_known & F.col(right_ts).isNotNull())
-        .select(*by, slice_of(right_ts, slice_seconds).alias(SLICE), event_row.alias("_event"))
-    )
+    known_events = right.where(key_known & F.col(right_ts).isNotNull()).select(*by, right_ts, *cols).distinct()
+
+    def with_answer(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            *left.columns,
+            F.col("_next.at").alias(right_ts if right_ts not in left.columns else f"next_{right_ts}"),
+            *[F.col("_next")[c].alias(c if c not in left.columns else f"next_{c}") for c in cols],
+            hours_between(F.col(left_ts), F.col("_next.at")).alias(hours),
+        )
+
+    if slice_seconds is None:
+        readings = left.withColumns({"_at": F.col(left_ts), "_is_event": F.lit(0)})
+        events = known_events.select(
+            *by, F.col(right_ts).alias("_at"), F.lit(1).alias("_is_event"), event_row.alias("_event")
+        )
+        timeline = readings.unionByName(events, allowMissingColumns=True)
+        last_seen = F.last("_event", ignorenulls=True).over(_backwards(by))
+        seen = timeline.withColumn("_next", F.when(F.col("_at").isNotNull(), last_seen))
+        return with_answer(seen.where(F.col("_is_event") == 0))
+
+    events = known_events.select(*by, slice_of(right_ts, slice_seconds).alias(SLICE), event_row.alias("_event"))
     instants = (
         left.where(key_known & F.col(left_ts).isNotNull())
         .select(*by, F.col(left_ts).alias("_at"), slice_of(left_ts, slice_seconds).alias(SLICE))
@@ -86,21 +106,17 @@ def next_event(
         events.unionByName(carried).withColumns({"_at": F.col("_event.at"), "_is_event": F.lit(1)}),
         allowMissingColumns=True,
     )
-    backwards = (
-        Window.partitionBy(*by, SLICE)
-        .orderBy(F.col("_at").desc(), F.col("_is_event"), F.col("_event").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    seen = timeline.withColumn("_next", F.last("_event", ignorenulls=True).over(backwards))
+    seen = timeline.withColumn("_next", F.last("_event", ignorenulls=True).over(_backwards([*by, SLICE])))
     settled = seen.where((F.col("_is_event") == 0) & F.col("_next").isNotNull()).select(
         *by, F.col("_at").alias(left_ts), "_next"
     )
-    return left.join(settled, [*by, left_ts], "left").select(
-        *left.columns,
-        F.col("_next.at").alias(right_ts if right_ts not in left.columns else f"next_{right_ts}"),
-        *[F.col("_next")[c].alias(c if c not in left.columns else f"next_{c}") for c in cols],
-        hours_between(F.col(left_ts), F.col("_next.at")).alias(hours),
-    )
+    return with_answer(left.join(settled, [*by, left_ts], "left"))
+
+
+def _backwards(group: list[str]) -> WindowSpec:
+    """From the latest row to the earliest, up to the row before; at equal times readings come before events."""
+    order = [F.col("_at").desc(), F.col("_is_event"), F.col("_event").desc()]
+    return Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def _first_event_after_slice(wanted: DataFrame, events: DataFrame, by: list[str]) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewright.functions.risk import star_rating
 from tidewright.functions.scalars import as_literal, parse_ts, tide_kind, truncate
 from tidewright.operators.aggregates import consolidate
 from tidewright.operators.joins import next_event
 from tidewright.operators.shape import any_present, explode_rows, project_nested, split_valid, with_run_date
-from tidewright.operators.windows import daily_amplitude, latest_per_key
+from tidewright.operators.windows import latest_per_key
 from tidewright.schemas import (
     EXTREME_KEY,
     GRID_BRONZE,
@@ -24,6 +25,10 @@ from tidewright.schemas import (
 )
 from tidewright.sources.conform import ensure_columns
 
+# The height is judged per reading, the wait for the next extreme once that is known.
+HEIGHT_RANGE = {"altura_marea_m": TIDE_RANGES["altura_marea_m"]}
+WAIT_RANGE = {"horas_hasta_cambio_marea": TIDE_RANGES["horas_hasta_cambio_marea"]}
+
 
 def _complete(df: DataFrame, keys: list[str], on_null: str) -> DataFrame:
     """Guard key columns: ``fail`` raises while the rows are computed, ``drop`` removes incomplete rows, ``keep`` lets them be."""
@@ -84,40 +89,58 @@ def silver_tide(
     as_of,
     source: str = "marea",
     on_null: str = "fail",
-    slice_seconds: int = 86_400,
 ) -> tuple[DataFrame, DataFrame]:
     """Tide facts: the height series with the next extreme, and the extremes with daily amplitude and stars."""
     heights = tide_rows(bronze, "heights", "timestamp_forecast", as_of, source)
     extremes = tide_rows(bronze, "extremes", "timestamp_extremo", as_of, source)
     extremes = extremes.withColumn("state", tide_kind("state"))
     extremes = extremes.withColumnsRenamed({"height": "altura_m", "state": "tipo"})
+    return _tide_series(heights, extremes, on_null), _tide_extremes(extremes, on_null)
+
 
+def _tide_series(heights: DataFrame, extremes: DataFrame, on_null: str) -> DataFrame:
+    """Duplicates go first: what is left of a run has one reading per moment of its horizon, so the
+    next extreme can be found in one sort per point and run."""
+    series = heights.drop("state").withColumnRenamed("height", "altura_marea_m")
+    valid, _ = split_valid(_complete(series, [*TIDE_KEY, "zona_id"], on_null), HEIGHT_RANGE)
     followed = next_event(
-        heights.drop("state"),
+        latest_per_key(valid, TIDE_KEY, ["created_at"]),
         extremes,
         by=["punto_id", "run_ts"],
         left_ts="timestamp_forecast",
         right_ts="timestamp_extremo",
         cols=["tipo"],
-        slice_seconds=slice_seconds,
+        slice_seconds=None,
         hours="horas_hasta_cambio_marea",
     )
-    followed = followed.withColumnsRenamed({"height": "altura_marea_m", "tipo": "tipo_proximo_cambio"})
-    series = _complete(followed.drop("timestamp_extremo"), [*TIDE_KEY, "zona_id"], on_null)
-    valid, _ = split_valid(series, TIDE_RANGES)
-    series = latest_per_key(valid, TIDE_KEY, ["created_at"]).select(
-        "punto_id", "zona_id", "timestamp_forecast", "run_ts", "altura_marea_m",
-        "horas_hasta_cambio_marea", "tipo_proximo_cambio", "source", "created_at",
+    near, _ = split_valid(followed.withColumnRenamed("tipo", "tipo_proximo_cambio"), WAIT_RANGE)
+    return with_run_date(
+        near.select(
+            "punto_id", "zona_id", "timestamp_forecast", "run_ts", "altura_marea_m",
+            "horas_hasta_cambio_marea", "tipo_proximo_cambio", "source", "created_at",
+        )
     )
 
-    rated = daily_amplitude(extremes, ["punto_id", "run_ts"], "timestamp_extremo", "altura_m", "tipo")
+
+def _tide_extremes(extremes: DataFrame, on_null: str) -> DataFrame:
+    """One row per extreme. Copies are combined first, each bringing its height into the day's amplitude."""
+    whole = _complete(extremes, [*EXTREME_KEY, "zona_id", "altura_m", "tipo"], on_null)
+    rest = ["created_at", "zona_id", "altura_m", "tipo", "source"]
+    single = whole.groupBy(*EXTREME_KEY).agg(
+        F.max(F.struct(*rest)).alias("row"),
+        F.max(F.when(F.col("tipo").contains("HIGH"), F.col("altura_m"))).alias("high"),
+        F.min(F.when(F.col("tipo").contains("LOW"), F.col("altura_m"))).alias("low"),
+    )
+    day = Window.partitionBy("punto_id", "run_ts", F.to_date("timestamp_extremo"))
+    span = F.abs(F.max("high").over(day) - F.min("low").over(day))
+    rated = single.select(*EXTREME_KEY, "row.*", span.alias("amplitud_dia_m"))
     rated = rated.withColumn("calidad_estrellas", star_rating("amplitud_dia_m"))
-    rated = _complete(rated, [*EXTREME_KEY, "zona_id", "altura_m", "tipo"], on_null)
-    rated = latest_per_key(rated, EXTREME_KEY, ["created_at"]).select(
-        "punto_id", "zona_id", "timestamp_extremo", "run_ts", "altura_m", "tipo",
-        "amplitud_dia_m", "calidad_estrellas", "source", "created_at",
+    return with_run_date(
+        rated.select(
+            "punto_id", "zona_id", "timestamp_extremo", "run_ts", "altura_m", "tipo",
+            "amplitud_dia_m", "calidad_estrellas", "source", "created_at",
+        )
     )
-    return with_run_date(series), with_run_date(rated)
 
 
 def silver_grid(bronze: DataFrame, as_of, source: str = "copernicus") -> DataFrame:
