@@ -93,15 +93,15 @@ def by_key(data):
     return out
 
 
-@pytest.mark.parametrize("seconds", [None, 1800, 86_400])
-def test_lags_and_forward_sum_are_the_same_sliced_or_not(spark, seconds):
+@pytest.mark.parametrize("seconds, merge", [(None, None), (1800, None), (86_400, None), (1800, 25), (1800, 10_000)])
+def test_lags_and_forward_sum_are_the_same_sliced_or_not(spark, seconds, merge):
     data = timeline(7)
     df = spark.createDataFrame(data, "id int, k string, ts timestamp, v double")
     specs = {"l1": ("v", 1), "l12": ("v", 12), "a2": ("v", -2)}
-    lagged = {r["id"]: r for r in lags(df, ["k"], "ts", specs, ["id"], seconds).collect()}
+    lagged = {r["id"]: r for r in lags(df, ["k"], "ts", specs, ["id"], seconds, merge).collect()}
     summed = {
         r["id"]: r["s"]
-        for r in forward_sum(df, ["k"], "ts", "v", 2, 1, "s", ["id"], slice_seconds=seconds).collect()
+        for r in forward_sum(df, ["k"], "ts", "v", 2, 1, "s", ["id"], slice_seconds=seconds, slice_rows=merge).collect()
     }
     assert len(lagged) == len(summed) == len(data)
     for series in by_key(data).values():
@@ -343,3 +343,17 @@ def test_explode_and_projection(spark):
 def test_calendar_counts_sunday_as_one(spark):
     df = spark.createDataFrame([(at(5),), (at(24),)], "ts timestamp")  # 1 February 2026 is a Sunday
     assert rows(calendar(df, "ts").drop("ts")) == [(0, 2, False), (5, 1, True)]
+
+
+def test_merged_slices_cut_only_busy_keys(spark):
+    from tidewright.operators.timeline import CARRIED, SLICE, with_neighbours
+
+    data = [("hot", at(i / 60), i) for i in range(600)] + [("quiet", at(24 * i), i) for i in range(9)] + [(None, at(0), 1), ("hot", None, 7)]
+    df = spark.createDataFrame(data, "k string, ts timestamp, v int")
+    cut = with_neighbours(df, ["k"], ["ts", "v"], ["v"], 600, 2, 1, slice_rows=100)
+    own = cut.where(~F.col(CARRIED))
+    assert own.count() == len(data)
+    sizes = {(r["k"], r[SLICE]): r["count"] for r in own.groupBy("k", SLICE).count().collect()}
+    assert max(sizes.values()) <= 110 and len([s for s in sizes if s[0] == "hot"]) == 6
+    assert [s for s in sizes if s[0] == "quiet"] == [("quiet", 0)]
+    assert cut.where(CARRIED).count() == 5 * 3

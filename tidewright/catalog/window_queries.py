@@ -226,7 +226,9 @@ def lags_query(t):
 def lags_sliced(t):
     rows = readings(t).select("event_id", "event_type", "ts", "cents", "k")
     specs = {"lag_1": ("cents", 1), "lag_12": ("cents", 12), "lead_2": ("k", -2)}
-    found = lags(rows, ["event_type"], "ts", specs, tiebreak=["event_id"], slice_seconds=6 * HOUR)
+    found = lags(
+        rows, ["event_type"], "ts", specs, tiebreak=["event_id"], slice_seconds=600, slice_rows=100_000
+    )
     return found.select("event_id", "event_type", "ts", *specs)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewright.functions.scalars import epoch_seconds
+from tidewright.operators.shape import join_null_safe
 
 SLICE = "_slice"
 CARRIED = "_carried"
@@ -31,14 +32,20 @@ def with_neighbours(
     slice_seconds: int,
     before: int = 0,
     after: int = 0,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Add a slice number and copies of the ``before`` / ``after`` rows next to each slice.
 
     ``order`` starts with the timestamp and must be a total order within ``by``. Copies carry the
     keys, the order columns and ``values``, and are marked in the ``_carried`` column: windows over
     (``by``, slice) whose row frames stay within these bounds are exact on the unmarked rows.
+
+    Each slice costs up to ``before + after`` copies, so it should hold many more rows than that.
+    With ``slice_rows`` neighbouring slices of a key are merged until they hold about that many rows:
+    quiet keys then stay in one piece and only busy stretches are cut finely.
     """
-    sliced = df.withColumn(SLICE, slice_of(order[0], slice_seconds)).withColumn(CARRIED, F.lit(False))
+    cut = df.withColumn(SLICE, slice_of(order[0], slice_seconds))
+    sliced = (_merge_slices(cut, by, slice_rows) if slice_rows else cut).withColumn(CARRIED, F.lit(False))
     columns = list(dict.fromkeys([*order, *values]))
     lean = sliced.select(*by, SLICE, *columns)
     copies = []
@@ -51,6 +58,15 @@ def with_neighbours(
     return sliced
 
 
+def _merge_slices(cut: DataFrame, by: list[str], slice_rows: int) -> DataFrame:
+    """Number slices by the rows that precede them instead of by time; the order along a key stays the same."""
+    sizes = cut.groupBy(*by, SLICE).agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    merged = F.floor(F.coalesce(F.sum("_size").over(earlier), F.lit(0)) / F.lit(slice_rows))
+    placed = sizes.select(*by, SLICE, merged.alias("_merged"))
+    return join_null_safe(cut, placed, [*by, SLICE]).drop(SLICE).withColumnRenamed("_merged", SLICE)
+
+
 def _carry(lean: DataFrame, by: list[str], order: list[str], columns: list[str], n: int, forward: bool) -> DataFrame:
     # Only the n rows at the near edge of each slice can be wanted by a neighbour. Ranking with a
     # bound lets every task drop the rest before the shuffle.

@@ -75,11 +75,20 @@ def daily_amplitude(
     return join_null_safe(dated, span, [*by, "_day"]).select(*ext.columns, out)
 
 
-def _rows_window(df: DataFrame, by, order, values, slice_seconds, before=0, after=0) -> tuple[DataFrame, WindowSpec]:
+def _rows_window(
+    df: DataFrame,
+    by: list[str],
+    order: list[str],
+    values: list[str],
+    slice_seconds: int | None,
+    slice_rows: int | None,
+    before: int = 0,
+    after: int = 0,
+) -> tuple[DataFrame, WindowSpec]:
     """The frame and the ordered window to use: per key, or per slice with its neighbours."""
     if slice_seconds is None:
         return df, Window.partitionBy(*by).orderBy(*order)
-    cut = with_neighbours(df, by, order, values, slice_seconds, before, after)
+    cut = with_neighbours(df, by, order, values, slice_seconds, before, after, slice_rows)
     return cut, Window.partitionBy(*by, SLICE).orderBy(*order)
 
 
@@ -98,6 +107,7 @@ def forward_sum(
     tiebreak: list[str] = (),
     slice_seconds: int | None = None,
     by_time: bool = False,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """The row's value plus the next ``n`` rows, missing values counting as zero.
 
@@ -108,7 +118,7 @@ def forward_sum(
         ahead = trailing_stats(df.withColumn("_value", value), by, ts, {out: ("_value", "sum", n * HOUR)}, forward=True)
         total = F.col(out)
         return ahead.withColumn(out, F.round(total, digits) if digits is not None else total).drop("_value")
-    cut, order = _rows_window(df, by, [ts, *tiebreak], [col], slice_seconds, after=n)
+    cut, order = _rows_window(df, by, [ts, *tiebreak], [col], slice_seconds, slice_rows, after=n)
     total = F.sum(value).over(order.rowsBetween(0, n))
     return _own_rows(cut.withColumn(out, F.round(total, digits) if digits is not None else total))
 
@@ -120,12 +130,13 @@ def lags(
     specs: dict[str, tuple[str, int]],
     tiebreak: list[str] = (),
     slice_seconds: int | None = None,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Earlier values by row offset: ``{output: (column, rows back)}``; negative offsets look ahead."""
     back = max([0, *[n for _, n in specs.values()]])
     ahead = max([0, *[-n for _, n in specs.values()]])
     values = [c for c, _ in specs.values()]
-    cut, order = _rows_window(df, by, [ts, *tiebreak], values, slice_seconds, back, ahead)
+    cut, order = _rows_window(df, by, [ts, *tiebreak], values, slice_seconds, slice_rows, back, ahead)
     return _own_rows(cut.withColumns({out: F.lag(c, n).over(order) for out, (c, n) in specs.items()}))
 
 
@@ -137,10 +148,11 @@ def deltas(
     n: int = 3,
     tiebreak: list[str] = (),
     slice_seconds: int | None = None,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Change of each column against ``n`` rows earlier: ``{output: column}``."""
     specs = {f"_lag_{out}": (c, n) for out, c in cols.items()}
-    lagged = lags(df, by, ts, specs, tiebreak, slice_seconds)
+    lagged = lags(df, by, ts, specs, tiebreak, slice_seconds, slice_rows)
     changed = lagged.withColumns({out: F.col(c) - F.col(f"_lag_{out}") for out, c in cols.items()})
     return changed.drop(*specs)
 
@@ -155,10 +167,11 @@ def verify_forward_sum(
     tolerance: float = 0.1,
     tiebreak: list[str] = (),
     slice_seconds: int | None = None,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Recompute a stored forward sum from look-ahead values: MATCH or DIFF, and OK, NULL or ERROR against the row's own value."""
     specs = {f"_ahead_{k}": (col, -k) for k in range(1, n + 1)}
-    seen = lags(df, by, ts, specs, tiebreak, slice_seconds)
+    seen = lags(df, by, ts, specs, tiebreak, slice_seconds, slice_rows)
     expected = F.coalesce(F.col(col).cast("double"), F.lit(0.0))
     for name in specs:
         expected = expected + F.coalesce(F.col(name), F.lit(0.0))

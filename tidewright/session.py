@@ -39,8 +39,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``; a scratch folder only where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
         folder = tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
