@@ -15,8 +15,8 @@ class DuplicateKeys(ValueError):
 def unique_by(source: DataFrame, keys: list[str], check: str = "lazy") -> DataFrame:
     """The source, guarded against repeated keys.
 
-    ``lazy`` fails while the result is computed and shares the shuffle of a join on the same keys,
-    ``eager`` runs a count before anything else, ``none`` trusts the caller.
+    ``lazy`` fails while the result is computed, ``eager`` runs a count before anything else, ``none``
+    trusts the caller.
     """
     if check == "none":
         return source
@@ -26,9 +26,11 @@ def unique_by(source: DataFrame, keys: list[str], check: str = "lazy") -> DataFr
         if found:
             raise DuplicateKeys(f"several source rows for {found[0].asDict()}")
         return source
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    message = F.concat(F.lit("several source rows for key "), F.to_json(F.struct(*keys)))
     known = F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull()
+    # Rows without a full key match nothing and may repeat: spread them instead of gathering them.
+    spread = F.when(~known, F.xxhash64(*source.columns))
+    rank = F.row_number().over(Window.partitionBy(*keys, spread).orderBy(*keys))
+    message = F.concat(F.lit("several source rows for key "), F.to_json(F.struct(*keys)))
     guard = F.when(known & (F.col("_rank") > 1), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     return source.withColumn("_rank", rank).where(guard).drop("_rank")
 
