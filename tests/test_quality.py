@@ -163,9 +163,9 @@ def test_pending_queue(spark):
     landed += [("marea", "old", now - dt.timedelta(hours=25)), ("other", "x", now), ("marea", "edge", now - dt.timedelta(hours=24))]
     files = spark.createDataFrame(landed, "source string, path string, written_utc timestamp")
     log = spark.createDataFrame([("m0", "PASS"), ("m1", "FAIL")], "path string, status string")
-    queue = pending(files, log, now, ["marea"], per_source=5)
+    queue = pending(files, log, now, ["marea"], hours=24, per_source=5)
     assert rows(queue.select("path")) == [(f"m{i}",) for i in range(2, 7)]
-    retry = pending(files, log, now, ["marea"], per_source=100, retry_failed=True)
+    retry = pending(files, log, now, ["marea"], hours=24, per_source=100, retry_failed=True)
     assert {r["path"] for r in retry.collect()} == {f"m{i}" for i in range(1, 20)} | {"edge"}
 
 

@@ -1,6 +1,6 @@
 """Queries over the given tables, one per operator, each with an independent SQL formulation."""
 
-from tidewright.catalog import aggregate_queries, join_queries, plan_queries, quality_queries, shape_queries, window_queries
+from tidewright.catalog import aggregate_queries, join_queries, model_queries, plan_queries, quality_queries, shape_queries, window_queries
 from tidewright.catalog.registry import ORACLES, QUERIES
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "QUERIES",
     "aggregate_queries",
     "join_queries",
+    "model_queries",
     "plan_queries",
     "quality_queries",
     "shape_queries",

@@ -257,15 +257,15 @@ def pivot_hours(t):
 
 @query(
     "pivot_hours_used",
-    f"""
-    WITH {LANDED}, m AS (SELECT * FROM landed WHERE hour(written_pty) BETWEEN 6 AND 9)
-    SELECT source, CAST(written_pty AS DATE) AS dia_pty, """
-    + ", ".join(f"count(*) FILTER (WHERE hour(written_pty) = {h}) AS h{h:02d}" for h in range(6, 10))
-    + " FROM m GROUP BY ALL",
+    f"WITH {LANDED} SELECT source, CAST(written_pty AS DATE) AS dia_pty, "
+    + ", ".join(f"count(*) FILTER (WHERE hour(written_pty) IN ({h}, {h + 1})) AS h{h:02d}" for h in range(0, 24, 2))
+    + " FROM landed GROUP BY ALL",
 )
 def pivot_hours_used(t):
-    morning = landing_times(landed(t)).where(F.col("hora_pty").between("06", "09"))
-    return landing_matrix(morning, ["source", "dia_pty"], prefix="h", drop_empty=True)
+    # Hours are taken in pairs, so every odd hour's column is empty and dropped.
+    hour = F.col("hora_pty").cast("int")
+    paired = landing_times(landed(t)).withColumn("hora_pty", F.format_string("%02d", hour - hour % 2))
+    return landing_matrix(paired, ["source", "dia_pty"], prefix="h", drop_empty=True)
 
 
 @query(

@@ -146,23 +146,24 @@ def range_assign(t):
 @query(
     "zone_assign",
     """
-    SELECT c.c_custkey, s.s_suppkey
-    FROM customer c JOIN supplier s
-      ON c.c_acctbal / 128 BETWEEN s.s_acctbal / 128 - 0.25 AND s.s_acctbal / 128 + 0.25
-     AND c.c_nationkey BETWEEN s.s_nationkey - 0.25 AND s.s_nationkey + 0.25
+    SELECT c.c_custkey, n.n_nationkey
+    FROM customer c JOIN nation n
+      ON c.c_acctbal / 128 BETWEEN n.n_nationkey * 3 - 1.75 AND n.n_nationkey * 3 + 1.75
+     AND c.c_nationkey BETWEEN n.n_regionkey * 5 - 1.75 AND n.n_regionkey * 5 + 1.75
     """,
 )
 def zone_assign(t):
+    # Zones are a bounded table, so the result grows with the points alone.
     zones = with_bbox(
-        t.supplier.select(
-            "s_suppkey", (F.col("s_acctbal") / 128).alias("lat"), F.col("s_nationkey").cast("double").alias("lon")
+        t.nation.select(
+            "n_nationkey", (F.col("n_nationkey") * 3).cast("double").alias("lat"), (F.col("n_regionkey") * 5).cast("double").alias("lon")
         ),
-        0.25, None, "s_suppkey", "lat", "lon",
+        1.75, None, "n_nationkey", "lat", "lon",
     )
     points = t.customer.select(
         "c_custkey", (F.col("c_acctbal") / 128).alias("lat"), F.col("c_nationkey").cast("double").alias("lon")
     )
-    return assign_zone(points, zones, "lat", "lon", 0.5, ["s_suppkey"]).select("c_custkey", "s_suppkey")
+    return assign_zone(points, zones, "lat", "lon", 2.0, ["n_nationkey"]).select("c_custkey", "n_nationkey")
 
 
 @query(

@@ -203,6 +203,19 @@ def dq_grid_report(t):
     """,
 )
 def pending_files(t):
+    files = landing_times(landed(t))
+    log = landed(t).where("value < 40").select("path", F.lit("PASS").alias("status"))
+    return pending(files, log, "2024-01-30 12:00:00", ["View", "click", "purchase"], hours=24, per_source=15)
+
+
+@query(
+    "pending_all",
+    f"""
+    WITH {LANDED}
+    SELECT source, path, written_utc AS event_time FROM landed WHERE source IN ('view', 'click', 'purchase') AND value >= 40
+    """,
+)
+def pending_all(t):
     files = landing_times(landed(t))
     log = landed(t).where("value < 40").select("path", F.lit("PASS").alias("status"))
     return pending(files, log, "2024-01-30 12:00:00", ["View", "click", "purchase"])
@@ -222,4 +235,4 @@ def pending_retry(t):
     files = landing_times(landed(t))
     status = F.when(F.col("value") < 20, "PASS").otherwise("FAIL")
     log = landed(t).where("value < 40").select("path", status.alias("status"))
-    return pending(files, log, "2024-01-30 12:00:00", ["view", "error"], hours=48, retry_failed=True)
+    return pending(files, log, "2024-01-30 12:00:00", ["view", "error"], hours=48, per_source=15, retry_failed=True)

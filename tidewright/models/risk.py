@@ -7,7 +7,7 @@ import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,18 +61,20 @@ def temporal_split(df: DataFrame, ts: str, train_share: float = 0.8) -> tuple[Da
     return df.where(F.col(ts) < moment), df.where(F.col(ts) >= moment)
 
 
-def model_inputs(df: DataFrame) -> DataFrame:
+def model_inputs(df: DataFrame, features: list[str] = NUMERIC_FEATURES) -> DataFrame:
     """Missing numeric features become zero; zone as text."""
-    filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in NUMERIC_FEATURES})
+    filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
     return filled.withColumn("zona_id", F.col("zona_id").cast("string"))
 
 
-def build(params: ModelParams = ModelParams()) -> Pipeline:
-    """Zone codes in alphabetical order, 28 numeric features, and the regressor."""
-    codes = StringIndexer(
-        inputCol="zona_id", outputCol="zona_id_encoded", stringOrderType="alphabetAsc", handleInvalid="keep"
-    )
-    vector = VectorAssembler(inputCols=[*NUMERIC_FEATURES, "zona_id_encoded"], outputCol="inputs")
+def build(
+    params: ModelParams = ModelParams(), features: list[str] = NUMERIC_FEATURES, zone: bool = True, regularisation: float = 1e-6
+) -> Pipeline:
+    """Zone codes in alphabetical order (inputs of the model unless ``zone`` is off), numeric features, and the regressor."""
+    codes = StringIndexer(inputCol="zona_id", outputCol="_zone", stringOrderType="alphabetAsc", handleInvalid="keep")
+    # Arithmetic drops the column's list of categories: trees take the code as a number, for any number of zones.
+    number = SQLTransformer(statement="SELECT *, _zone + 0D AS zona_id_encoded FROM __THIS__")
+    vector = VectorAssembler(inputCols=[*features, *(["zona_id_encoded"] if zone else [])], outputCol="inputs")
     shared = {"featuresCol": "inputs", "labelCol": TARGET, "predictionCol": "prediction"}
     if params.kind == "GBT":
         model = GBTRegressor(
@@ -83,10 +85,10 @@ def build(params: ModelParams = ModelParams()) -> Pipeline:
         model = RandomForestRegressor(numTrees=params.trees, maxDepth=params.depth, seed=params.seed, **shared)
     elif params.kind == "LR":
         # A trace of regularisation keeps the closed form solvable when features are collinear.
-        model = LinearRegression(solver="normal", regParam=1e-6, **shared)
+        model = LinearRegression(solver="normal", regParam=regularisation, **shared)
     else:
         raise ValueError(f"unknown model kind: {params.kind}")
-    return Pipeline(stages=[codes, vector, model])
+    return Pipeline(stages=[codes, number, vector, model])
 
 
 def fit_risk_model(train: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
@@ -115,9 +117,10 @@ def score(
     as_of,
     model_version: str = "1",
     model_run_id: str = "",
+    inputs: list[str] = NUMERIC_FEATURES,
 ) -> DataFrame:
     """Predicted score (0 to 100, two decimals) and level per zone and hour."""
-    predicted = model.transform(model_inputs(features))
+    predicted = model.transform(model_inputs(features, inputs))
     clipped = predicted.withColumn("risk_score_pred", clip_round("prediction", 0.0, 100.0, 2))
     return clipped.select(
         "zona_id",

@@ -54,6 +54,8 @@ def file_schemas(spark: SparkSession, files: DataFrame, path: str = "path") -> D
     """Schema JSON and fingerprint of each parquet file, from the footers alone, read in the tasks."""
 
     def footers(batches):
+        import io
+
         import pandas as pd
         import pyarrow.parquet as pq
         from pyarrow import fs
@@ -62,13 +64,18 @@ def file_schemas(spark: SparkSession, files: DataFrame, path: str = "path") -> D
         for batch in batches:
             rows = []
             for location in batch["path"]:
+                # A store that cannot be reached fails the task, so that Spark tries again.
+                filesystem, inner = fs.FileSystem.from_uri(location)
+                with filesystem.open_input_file(inner) as handle:
+                    size = handle.size()
+                    end = handle.read_at(min(8, size), max(0, size - 8))
+                    length = int.from_bytes(end[:4], "little") if len(end) == 8 else 0
+                    footer = handle.read_at(length, size - 8 - length) if end[4:] == b"PAR1" and length <= size - 8 else b""
                 try:
-                    filesystem, inner = fs.FileSystem.from_uri(location)
-                    with filesystem.open_input_file(inner) as handle:
-                        arrow = pq.read_schema(handle)
+                    arrow = pq.read_schema(io.BytesIO(b"PAR1" + footer + end))
                     schema = from_arrow_schema(arrow).jsonValue()
                     rows.append((location, json.dumps(schema, sort_keys=True), None))
-                except Exception as problem:  # a file that cannot be read is a finding, not a failure
+                except Exception as problem:  # a malformed footer is a finding, not a failure
                     rows.append((location, None, str(problem)))
             yield pd.DataFrame(rows, columns=["path", "schema_json", "problem"])
 
@@ -296,21 +303,25 @@ def pending(
     log: DataFrame,
     as_of,
     sources: list[str],
-    hours: float = 24,
-    per_source: int = 15,
+    hours: float | None = None,
+    per_source: int | None = None,
     retry_failed: bool = False,
     event_time: str = "written_utc",
 ) -> DataFrame:
-    """Work queue: recent files of known sources without a verdict, the newest few per source.
+    """Work queue: all files of known sources without a verdict.
 
-    With ``retry_failed`` only a PASS counts as a verdict.
+    ``hours`` looks only at files as recent as that, ``per_source`` takes only the newest few of each
+    source; without them the queue is whole. With ``retry_failed`` only a PASS counts as a verdict.
     """
-    recent = since(landed, event_time, as_of, hours=hours).select(
+    considered = landed if hours is None else since(landed, event_time, as_of, hours=hours)
+    recent = considered.select(
         F.lower("source").alias("source"), "path", F.col(event_time).alias("event_time")
     )
     known = recent.where(F.col("source").isin([s.lower() for s in sources]))
     done = log.where(F.col("status") == "PASS") if retry_failed else log
     queue = missing_keys(known, done, ["path"])
+    if per_source is None:
+        return queue
     return top_n(queue, ["source"], [F.col("event_time").desc(), F.col("path")], per_source)
 
 

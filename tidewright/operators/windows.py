@@ -266,6 +266,8 @@ def trailing_stats(
         "_copy",
         (position + F.col("_copy")).alias("_pos"),
     )
+    # Rows without a time are one another's peers; they have no block before them to be moved to.
+    line = line.where((F.col("_copy") == 0) | F.col("_pos").isNotNull())
     line = line.withColumn("_block", F.floor(F.col("_pos") / widest))
 
     pieces: dict[str, Column] = {}

@@ -43,6 +43,7 @@ def prediction_view(predictions: DataFrame, as_of, hours: float = 72) -> DataFra
     return coming.select("zona_id", "timestamp_forecast", "risk_score_pred", "safety_level_pred", "model_version")
 
 
-def importance_view(importances: DataFrame, n: int = 15) -> DataFrame:
-    """The most important features."""
-    return importances.orderBy("rank").limit(n)
+def importance_view(importances: DataFrame, n: int | None = None) -> DataFrame:
+    """The features by importance, all of them or the ``n`` first."""
+    ranked = importances.orderBy("rank")
+    return ranked if n is None else ranked.limit(n)

@@ -37,11 +37,17 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``; a scratch folder only where it is unset."""
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets a scratch folder; on a cluster, whose executors would not see
+    one another's files, that is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)

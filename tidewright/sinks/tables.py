@@ -53,7 +53,7 @@ def log_results(log: DataFrame, path: str) -> None:
     log.write.mode("append").parquet(path)
 
 
-def recent_log(log: DataFrame, n: int = 50) -> DataFrame:
+def recent_log(log: DataFrame, n: int) -> DataFrame:
     """The latest verdicts."""
     return log.orderBy(F.col("run_at").desc(), F.col("path")).limit(n)
 

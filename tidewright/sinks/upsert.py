@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,26 +48,28 @@ def upsert(
     """Target rows replaced by source rows of the same key, and source rows with new keys added.
 
     With ``update_cols`` only those columns of matched rows change, to the source value even when it
-    is NULL. Keys are compared with ``=``: a NULL key matches nothing. The target side meets the
-    source by anti and left joins, so a source small enough for Spark's broadcast threshold leaves
-    the target unshuffled.
+    is NULL; target and source meet in one full outer join. Otherwise the target meets the source by an
+    anti join, so a source small enough for Spark's broadcast threshold leaves the target unshuffled.
+    Keys are compared with ``=``: a NULL key matches nothing.
     """
     guarded = unique_by(source, keys, check)
     if update_cols is None:
         untouched = target.join(source.select(*keys), keys, "left_anti").select(*target.columns)
         return untouched.unionByName(guarded.select(*target.columns))
 
-    incoming = guarded.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in update_cols], F.lit(True).alias("_hit"))
-    joined = target.join(incoming, keys, "left")
-    merged = joined.select(
+    incoming = guarded.select(*[F.col(c).alias(f"_new_{c}") for c in target.columns], F.lit(True).alias("_hit"))
+    held = target.withColumn("_old", F.lit(True))
+    same = reduce(and_, [F.col(k) == F.col(f"_new_{k}") for k in keys])
+    joined = held.join(incoming, same, "full_outer")
+    changed = set(update_cols)
+    return joined.select(
         *[
-            F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in update_cols else F.col(c)
+            F.when(F.col("_old").isNull() | (F.col("_hit") if c in changed else F.lit(False)), F.col(f"_new_{c}"))
+            .otherwise(F.col(c))
+            .alias(c)
             for c in target.columns
         ]
     )
-    matched = target.select(*keys).join(source.select(*keys), keys, "left_semi")
-    fresh = source.join(matched, keys, "left_anti").select(*target.columns)
-    return merged.unionByName(fresh)
 
 
 def upsert_table(

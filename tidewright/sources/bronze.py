@@ -34,7 +34,7 @@ def current_snapshot(bronze: DataFrame, fields: list[str] | None = None, provide
 
 def tide_stats(bronze: DataFrame, digits: int = 2) -> DataFrame:
     """Height range, mean and high/low tide figures of each row's own arrays, as ``estadisticas``."""
-    heights = F.transform("raw_data.heights", lambda m: m["height"])
+    heights = F.filter(F.transform("raw_data.heights", lambda m: m["height"]), lambda h: h.isNotNull())
     count = F.size(heights)
     total = F.aggregate(heights, F.lit(0.0), lambda acc, h: acc + h)
 

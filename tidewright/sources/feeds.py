@@ -71,11 +71,12 @@ def scan_feed(
         dates = lookback_dates(as_of, lookback_days)
         if layout == "folder":
             days = ",".join(f"year={d:%Y}/month={d:%m}/forecast/day={d:%d}" for d in dates)
-            pruned = reader, f"{path}/{{{days}}}"
+            pruned = reader, f"{path}/{{{days}}}", "*.parquet"
         else:
             stamps = ",".join(f"{d:%Y%m%d}" for d in dates)
-            pruned = reader.option("pathGlobFilter", f"*{{{stamps}}}*.parquet"), path
-        found = _load(*pruned)
+            names = f"*{{{stamps}}}*.parquet"
+            pruned = reader.option("pathGlobFilter", names), path, names
+        found = _load(spark, *pruned)
         if found is not None:
             return _with_path(found)
         if not fallback_all:
@@ -85,15 +86,17 @@ def scan_feed(
     return _with_path(reader.parquet(path))
 
 
-def _load(reader, path: str) -> DataFrame | None:
-    """The frame, or None when the pattern matches no file."""
+def _load(spark: SparkSession, reader, path: str, names: str) -> DataFrame | None:
+    """The frame, or None when the pattern matches no file; a file without rows is a match."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", names)
     try:
-        df = reader.parquet(path)
+        if not listing.load(path).select("path").limit(1).count():
+            return None
+        return reader.parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-    return df if df.select(F.col("_metadata.file_path")).limit(1).count() else None
 
 
 def _with_path(df: DataFrame) -> DataFrame:
