@@ -3,9 +3,11 @@
 The words (letters and digits, lower case) of labelled documents are counted per class; their byte n-grams, with word
 boundaries, are the counts of two interpolated Kneser-Ney models. The higher orders are class-conditional. Orders up
 to ``shared`` are continuation counts that both classes share, so an expression that neither class knows well gets
-nearly the same likelihood from both. A word's log ratio is the difference of the two log-likelihoods; a document is
-compared by the ratio normalised by its length and by its most telling words, which a logistic link, fitted on a
-bounded sample of the learning rows, turns into a score.
+nearly the same likelihood from both. A word's log ratio is the difference of the two log-likelihoods, where the
+ordinary one is not less than the shared backoff's: what is merely rare in ordinary texts isn't toxic for that. A
+document is compared by the ratio normalised by its length and by its most telling words, which a logistic link turns
+into a score. The link is fitted on a bounded sample of the learning rows, each half of them scored by the models of the
+other half, so that it sees words as new as those of later documents.
 
 All learning rows are counted. The n-gram table goes to every task, so its size is bounded: the order is the highest
 of at most ``order`` whose table has ``most_grams`` rows or fewer, and 2 (65,536 pairs of bytes) at the least.
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ALNUM_TABLE, ascii_lower_words, settle, slices
@@ -34,28 +36,38 @@ FLUSH = 300_000
 LONGEST = 64
 
 
+COUNTS = ("ordinary", "toxic", "ordinary_a", "toxic_a")
+
+
+def half_of(id: str) -> Column:
+    """0 or 1 by a hash of the id."""
+    return F.pmod(F.xxhash64(F.lit("half"), id), F.lit(2)).cast("int")
+
+
 def word_counts(labelled: DataFrame) -> DataFrame:
-    """(word, ordinary, toxic): how often each word stands in either class."""
+    """(word, ordinary, toxic, ordinary_a, toxic_a): how often each word stands in either class, in all labelled rows
+    and in one half of them."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = (Counter(), Counter())
+        seen = [Counter() for _ in range(4)]
 
         def out() -> pa.RecordBatch:
-            words = list(seen[0].keys() | seen[1].keys())
-            counts = [pa.array([c.get(w, 0) for w in words], pa.int64()) for c in seen]
-            return pa.record_batch([pa.array(words, pa.binary()), *counts], ["word", "ordinary", "toxic"])
+            words = list(set().union(*seen))
+            a0, a1, b0, b1 = (np.array([c.get(w, 0) for w in words], np.int64) for c in seen)
+            return pa.record_batch([pa.array(words, pa.binary()), *map(pa.array, (a0 + b0, a1 + b1, a0, a1))], ["word", *COUNTS])
 
         for batch in slices(batches):
-            for label, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[1 if label else 0].update(ascii_lower_words(raw, ALNUM_TABLE))
-            if len(seen[0]) + len(seen[1]) > FLUSH:
+            for label, half, raw in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                seen[2 * half + (1 if label else 0)].update(ascii_lower_words(raw, ALNUM_TABLE))
+            if sum(map(len, seen)) > FLUSH:
                 yield out()
-                seen[0].clear()
-                seen[1].clear()
+                for c in seen:
+                    c.clear()
         yield out()
 
-    rows = labelled.select("label", "raw").mapInArrow(gather, "word binary, ordinary long, toxic long")
-    return rows.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    rows = labelled.select("label", half_of("doc").alias("half"), "raw")
+    rows = rows.mapInArrow(gather, "word binary, " + ", ".join(f"{c} long" for c in COUNTS))
+    return rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
 def _layout(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,7 +85,7 @@ def _layout(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def gram_counts(words: DataFrame, order: int) -> DataFrame:
-    """(gram, ordinary, toxic) of the byte n-grams of counted words."""
+    """(gram and the same counts) of the byte n-grams of counted words."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 50_000):
@@ -82,11 +94,11 @@ def gram_counts(words: DataFrame, order: int) -> DataFrame:
             many = [-(-len(w) // LONGEST) for w in words]
             grams, number, _ = _layout(parts, order)
             kinds, place = np.unique(grams, return_inverse=True)
-            counts = [np.bincount(place, np.repeat(np.asarray(batch.column(k)), many)[number], len(kinds)).astype(np.int64) for k in (1, 2)]
-            yield pa.record_batch([pa.array(kinds), *map(pa.array, counts)], ["gram", "ordinary", "toxic"])
+            counts = [np.bincount(place, np.repeat(np.asarray(batch.column(k)), many)[number], len(kinds)).astype(np.int64) for k in range(1, 5)]
+            yield pa.record_batch([pa.array(kinds), *map(pa.array, counts)], ["gram", *COUNTS])
 
-    rows = words.mapInArrow(gather, "gram long, ordinary long, toxic long")
-    return rows.groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    rows = words.mapInArrow(gather, "gram long, " + ", ".join(f"{c} long" for c in COUNTS))
+    return rows.groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
 class KneserNey:
@@ -95,7 +107,7 @@ class KneserNey:
     def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int, shared: int = 2):
         sort = np.argsort(grams)
         grams, counts = grams[sort], counts[sort].astype(np.float64)
-        self.order, self.levels = order, []
+        self.order, self.shared, self.levels = order, shared, []
         for n in range(order, 0, -1):
             used = np.repeat(counts.sum(axis=1, keepdims=True), 2, axis=1) if n <= shared else counts
             context, place = np.unique(grams >> 8, return_inverse=True)
@@ -112,11 +124,11 @@ class KneserNey:
                 value = np.where(start[:, None] & (((tail >> 8 * (n - 2)) == BOUNDARY)[:, None]), counts, counts > 0)
                 grams, place = np.unique(tail, return_inverse=True)
                 counts = np.stack([np.bincount(place, value[:, c], len(grams)) for c in (0, 1)], axis=1)
-        self.known, self.ratio = self.levels[0][0], None
+        self.known = self.levels[0][0]
         self.ratio = self._ratios(self.known)
 
     def _ratios(self, grams: np.ndarray) -> np.ndarray:
-        """log P(last byte | bytes before, toxic) - log P(same, ordinary)."""
+        """log P(last byte | bytes before, toxic) - log P(same, ordinary), the latter not less than the backoff's."""
         p = np.full((len(grams), 2), 1 / 256)
         for n, (table, own, contexts, weight) in zip(range(1, self.order + 1), reversed(self.levels)):
             gram = grams & ((1 << 8 * n) - 1)
@@ -124,7 +136,9 @@ class KneserNey:
             p = np.where(found[:, None], weight[at], 1.0) * p
             at, found = _place(table, gram)
             p += np.where(found[:, None], own[at], 0.0)
-        return np.log(p[:, 1]) - np.log(p[:, 0])
+            if n == self.shared:
+                backoff = p[:, 0].copy()
+        return np.log(p[:, 1]) - np.log(np.maximum(p[:, 0], backoff))
 
     def words(self, words: list[bytes]) -> np.ndarray:
         """The log ratio of each word."""
@@ -147,13 +161,14 @@ def _place(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 class Evidence:
     """Features of texts under a model; keeps the ratios of words in a bounded table."""
 
-    N = 4
+    NAMES = ("mean", "top_1", "top_2", "top_3", "next_5", "log_words")
 
     def __init__(self, model: KneserNey, most: int = 500_000):
         self.model, self.most, self.known = model, most, {}
 
     def features(self, texts: list[bytes | None]) -> np.ndarray:
-        """Per text: ratio per byte of the whole text, and of its words the largest, second and third largest ratio."""
+        """Per text: ratio per byte of the whole text, the three largest ratios of its words, the mean of the next
+        five, and the length, since a longer text has more words that look telling by chance."""
         words = [ascii_lower_words(t, ALNUM_TABLE) for t in texts]
         fresh = list(set().union(*words) - self.known.keys()) if words else []
         if len(self.known) + len(fresh) > self.most:
@@ -162,14 +177,16 @@ class Evidence:
         for start in range(0, len(fresh), 20_000):
             part = fresh[start : start + 20_000]
             self.known.update(zip(part, self._long(part).tolist()))
-        out = np.zeros((len(texts), self.N))
+        out = np.zeros((len(texts), len(self.NAMES)))
         get = self.known.__getitem__
         for row, w in zip(out, words):
             if w:
                 r = np.fromiter(map(get, w), np.float64, len(w))
                 row[0] = r.sum() / (sum(map(len, w)) + len(w))
-                top = np.sort(np.partition(r, -3)[-3:] if len(r) > 3 else r)[::-1]
-                row[1 : 1 + len(top)] = np.clip(top, 0, 20)
+                top = np.clip(np.sort(np.partition(r, -8)[-8:] if len(r) > 8 else r)[::-1], 0, 12)
+                row[1 : 1 + min(3, len(top))] = top[:3]
+                row[4] = top[3:].sum() / 5
+                row[5] = np.log1p(len(w))
         return out
 
     def _long(self, words: list[bytes]) -> np.ndarray:
@@ -206,8 +223,8 @@ class ToxicityModel:
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", order: int = 5,
-    shared: int = 2, most_grams: int = 1 << 20, sample_rows: int = 20_000,
+    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", order: int = 6,
+    shared: int = 4, most_grams: int = 1 << 20, sample_rows: int = 20_000,
 ) -> ToxicityModel | None:
     """Learn from all labelled rows outside the held-out fold; the link from ``sample_rows`` of them."""
     usable = training_labels(labels, label, 5, 0, id)
@@ -217,23 +234,32 @@ def fit_toxicity(
         rows = grams.limit(most_grams + 1).toPandas() if n > 2 else grams.toPandas()
         if n == 2 or len(rows) <= most_grams:
             break
-    counts = rows[["ordinary", "toxic"]].to_numpy(np.int64)
-    if not len(rows) or not counts.sum(axis=0).all():
+    counts = rows[list(COUNTS)].to_numpy(np.int64)
+    if not len(rows) or not counts[:, :2].sum(axis=0).all():
         return None
-    evidence = Evidence(KneserNey(rows["gram"].to_numpy(np.int64), counts, n, shared))
+    grams = rows["gram"].to_numpy(np.int64)
+
+    def model(part: np.ndarray) -> Evidence:
+        seen = part.sum(axis=1) > 0
+        return Evidence(KneserNey(grams[seen], part[seen], n, min(shared, n - 1)))
 
-    sent = docs.sparkSession.sparkContext.broadcast(evidence)
+    evidence, halves = model(counts[:, :2]), (counts[:, :2] - counts[:, 2:], counts[:, 2:])
+    # Each half is scored by the models of the other one, if that has both classes.
+    others = [model(part) if part.sum(axis=0).all() else evidence for part in halves]
+    sent = docs.sparkSession.sparkContext.broadcast(others)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            x = sent.value.features(batch.column(2).to_pylist())
-            yield pa.record_batch([batch.column(1), *map(pa.array, x.T)], ["label", "a", "b", "c", "d"])
+            half, texts = np.asarray(batch.column(1)), batch.column(2).to_pylist()
+            x = np.where((half == 0)[:, None], *(e.features(texts) for e in sent.value))
+            yield pa.record_batch([batch.column(0), *map(pa.array, x.T)], ["label", *Evidence.NAMES])
 
-    sample = with_labels(docs, sampled(usable, sample_rows), id, text)
-    learnt = sample.mapInArrow(features, "label int, a double, b double, c double, d double").toPandas().sort_values(["a", "b", "c", "d", "label"])
+    sample = with_labels(docs, sampled(usable, sample_rows), id, text).select("label", half_of("doc").alias("half"), "raw")
+    names = list(Evidence.NAMES)
+    learnt = sample.mapInArrow(features, "label int, " + ", ".join(f"{c} double" for c in names)).toPandas().sort_values([*names, "label"])
     if learnt["label"].nunique() < 2:
         return None
-    link = fit_logistic(learnt[["a", "b", "c", "d"]].to_numpy(), (learnt["label"] > 0).to_numpy(float))
+    link = fit_logistic(learnt[names].to_numpy(), (learnt["label"] > 0).to_numpy(float))
     return ToxicityModel(evidence, link)
 
 
