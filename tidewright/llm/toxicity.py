@@ -163,7 +163,7 @@ class Evidence:
 
     NAMES = ("mean", "top_1", "top_2", "top_3", "next_5", "log_words")
 
-    def __init__(self, model: KneserNey, most: int = 500_000):
+    def __init__(self, model: KneserNey, most: int = 200_000):
         self.model, self.most, self.known = model, most, {}
 
     def features(self, texts: list[bytes | None]) -> np.ndarray:
@@ -235,9 +235,10 @@ def fit_toxicity(
         if n == 2 or len(rows) <= most_grams:
             break
     counts = rows[list(COUNTS)].to_numpy(np.int64)
-    if not len(rows) or not counts[:, :2].sum(axis=0).all():
+    if not len(counts) or not counts[:, :2].sum(axis=0).all():
         return None
     grams = rows["gram"].to_numpy(np.int64)
+    del rows
 
     def model(part: np.ndarray) -> Evidence:
         seen = part.sum(axis=1) > 0
@@ -257,6 +258,9 @@ def fit_toxicity(
     sample = with_labels(docs, sampled(usable, sample_rows), id, text).select("label", half_of("doc").alias("half"), "raw")
     names = list(Evidence.NAMES)
     learnt = sample.mapInArrow(features, "label int, " + ", ".join(f"{c} double" for c in names)).toPandas().sort_values([*names, "label"])
+    # The halves' models are done with: tasks and driver need not hold them beside the whole one.
+    sent.destroy()
+    del others
     if learnt["label"].nunique() < 2:
         return None
     link = fit_logistic(learnt[names].to_numpy(), (learnt["label"] > 0).to_numpy(float))
