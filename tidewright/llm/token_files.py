@@ -202,7 +202,8 @@ def read_token_files(manifest: DataFrame, id: str = "doc_id") -> DataFrame:
                     [id, "start", "n_tokens", "ids_crc32"],
                 )
 
-    spread = manifest.select("path", "n_docs", "start").repartition("path")
+    # A task for every few shards: rows of the manifest are small, what they stand for is not.
+    spread = manifest.select("path", "n_docs", "start").repartition(max(1, manifest.count()), "path")
     return spread.mapInArrow(read, f"{id} long, start long, n_tokens long, ids_crc32 long")
 
 
