@@ -39,8 +39,12 @@ def test_pretokens_encode_as_the_library(library):
     texts = ["".join(random.choice(alphabet) for _ in range(random.randint(0, 40))) for _ in range(3000)]
     texts += [chr(c) + "a " + chr(c) for c in range(1, 0x3000) if not 0xD800 <= c < 0xE000]
     texts += [t or "" for _, t in AWKWARD] + documents()["text"].tolist()
-    for text, data in zip(texts, own.encode(texts)):
+    texts += ["it's ''s we'll'd 're don't'", "i'M ‘s 's's", "a1b22 x²½ ab%%% $$a", "Ⱥɏ Ⱦ's ʼn ª"]
+    for text, data, n in zip(texts, own.encode(texts), own.lengths(texts), strict=True):
         assert np.frombuffer(data, own.dtype).tolist() == ids_of(library, text), repr(text[:80])
+        assert n * own.dtype.itemsize == len(data)
+    few = texts[:200]
+    assert own.encode(few, most=50) == own.encode(few) and own.lengths(few, most=50) == own.lengths(few)
 
 
 @pytest.mark.parametrize("hot", [0, 3, 1 << 17])

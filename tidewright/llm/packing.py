@@ -29,8 +29,8 @@ def token_lengths(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = pretokenizer(tokenizer)
         for batch in slices(batches):
-            ids = encoder.encode(batch.column(1).to_pylist())
-            yield pa.record_batch([batch.column(0), pa.array([len(x) // encoder.dtype.itemsize + 1 for x in ids], pa.int64())], [id, "n_tokens"])
+            sizes = encoder.lengths(batch.column(1).to_pylist())
+            yield pa.record_batch([batch.column(0), pa.array([n + 1 for n in sizes], pa.int64())], [id, "n_tokens"])
 
     slim = docs.select(F.col(id), F.col(text).alias("text"))
     return slim.mapInArrow(run, slim.select(id).schema.add("n_tokens", "long"))
