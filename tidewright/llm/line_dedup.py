@@ -60,7 +60,8 @@ def dedup_lines(
     """All rows and columns of ``docs`` with removed boilerplate lines, and (n_lines, n_removed); columns of these
     names are replaced."""
     lines = settle(_lines(docs, id, text, site, min_words, passage_words), "lines")
-    spread = boilerplate_lines(lines, min_sites)
+    # A table of its own: Spark knows its size, and both sides of the join are exchanged, so it can split a hot line.
+    spread = settle(boilerplate_lines(lines, min_sites), "boilerplate")
     met = lines.join(spread, ["h1", "h2"]).where(~F.struct("doc", "th", "pos").eqNullSafe(F.col("first")))
     removed = met.groupBy("doc", "th").agg(F.collect_set("pos").alias("gone")).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), "gone")
     rest = docs.drop("n_lines", "n_removed")
