@@ -48,7 +48,9 @@ def boilerplate_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     band = 1 + math.ceil(4 * 1.04 / math.sqrt(1 << LG_K) * min_sites)
     sure = spread.where(F.col("sites") > min_sites + band).select("h1", "h2", "first")
     near = spread.where((F.col("sites") >= min_sites - band) & (F.col("sites") <= min_sites + band)).select("h1", "h2", "first")
-    pairs = lines.join(near, ["h1", "h2"], "left_semi").select("h1", "h2", "site").distinct()
+    # Occurrences are combined to sites before they meet by line, so a line costs a row per site, however often it
+    # stands there. An inner join on the unique hashes: a semi join would be moved below the combination.
+    pairs = lines.select("h1", "h2", "site").distinct().join(near.select("h1", "h2"), ["h1", "h2"])
     exact = pairs.groupBy("h1", "h2").count().where(F.col("count") >= min_sites)
     return sure.unionByName(near.join(exact, ["h1", "h2"], "left_semi"))
 
