@@ -163,3 +163,22 @@ def test_dimensions(spark):
         dim_points(points, AS_OF, zones.where("zona_id = 'Z1'"))
     with pytest.raises(ValueError, match="without keys"):
         dim_points(points.withColumn("zona_id", F.lit(None).cast("string")), AS_OF)
+
+
+def test_landed_audit_replaces_whole_local_days(spark, tmp_path):
+    from tidewright.plans.bronze import LANDED_COLUMNS, reload_landed
+    from tidewright.sources import classify_variant
+
+    def files(*moments):
+        rows = [("a", f"/x/forecast/{m}.parquet", m) for m in moments]
+        return classify_variant(spark.createDataFrame(rows, "source string, path string, modTimeMs long"))
+
+    # 2024-01-20 10:00 UTC; the first local day kept is the 18th, from 05:00 UTC on.
+    as_of, day, start = "2024-01-20 10:00:00", 86_400_000, 1_705_554_000_000
+    out = str(tmp_path / "audit")
+    reload_landed(spark, out, files(start - 1, start, start + day), as_of)
+    got = spark.read.parquet(out)
+    assert set(got.columns) == set(LANDED_COLUMNS)
+    assert sorted(r.modTimeMs for r in got.collect()) == [start, start + day]
+    reload_landed(spark, out, files(start, start + 2 * day), as_of)
+    assert sorted(r.modTimeMs for r in spark.read.parquet(out).collect()) == [start, start + 2 * day]
