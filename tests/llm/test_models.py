@@ -93,3 +93,24 @@ def test_score_keeps_columns(spark):
     docs, labels = load(spark, "documents"), load(spark, "labels")
     scored = score_toxicity(docs.withColumn("score", docs.doc_id), fit_toxicity(docs, labels))
     assert scored.columns == [*docs.columns, "score"] and scored.count() == docs.count()
+
+
+def test_spread_table_gives_the_same_scores(spark):
+    """A table of n-grams beyond the bound stays in the tasks; order and scores don't change."""
+    docs, labels = load(spark, "documents").select("doc_id", "text"), load(spark, "labels")
+    docs = docs.unionByName(awkward(spark, extra=False))
+    models = [fit_toxicity(docs, labels, most_grams=n) for n in (1 << 20, 1)]
+    assert [type(m).__name__ for m in models] == ["ToxicityModel", "WideModel"]
+    one, two = (sorted(score_toxicity(docs, m).collect(), key=lambda r: (repr(r.doc_id), repr(r.text))) for m in models)
+    assert [(r.doc_id, r.text) for r in one] == [(r.doc_id, r.text) for r in two]
+    assert np.allclose([r.score for r in one], [r.score for r in two], rtol=0, atol=1e-9)
+
+
+def test_spread_table_keeps_columns_and_empty_tables(spark):
+    docs, labels = load(spark, "documents"), load(spark, "labels")
+    model = fit_toxicity(docs, labels, most_grams=1)
+    scored = score_toxicity(awkward(spark), model)
+    assert sorted(scored.columns) == sorted(awkward(spark).columns) and scored.count() == len(AWKWARD)
+    assert score_toxicity(empty(spark), model).collect() == []
+    assert fit_toxicity(docs, labels.where("toxic = 0"), most_grams=1) is None
+    assert fit_toxicity(empty(spark), labels, most_grams=0) is None

@@ -9,8 +9,8 @@ document is compared by the ratio normalised by its length and by its most telli
 into a score. The link is fitted on a bounded sample of the learning rows, each half of them scored by the models of the
 other half, so that it sees words as new as those of later documents.
 
-All learning rows are counted. The n-gram table goes to every task, so its size is bounded: the order is the highest
-of at most ``order`` whose table has ``most_grams`` rows or fewer, and 2 (65,536 pairs of bytes) at the least.
+All learning rows are counted. An n-gram table of at most ``most_grams`` rows goes to every task. A larger one stays
+spread over the tasks, and words meet it by joins (``toxicity_wide``); the order and the scores are the same either way.
 
 NULL and empty texts, and texts without words, have no evidence and get the score of the link for zero features.
 Repeated rows get equal scores; without labels of both classes every score is 0.
@@ -27,16 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ALNUM_TABLE, ascii_lower_words, settle, slices
+from .kneser_ney import KneserNey, cut_words
+from .kneser_ney import layout as _layout
 from .labelled import remainder, sampled, training_labels, with_labels
+from .toxicity_wide import COUNTS, NAMES, WideModel, wide_features, wide_grams
 
-DISCOUNT = 0.75
-BOUNDARY = 32
 FLUSH = 300_000
-#: Words of more bytes are cut into parts of this length, so that no single word rules a task's memory.
-LONGEST = 64
-
-
-COUNTS = ("ordinary", "toxic", "ordinary_a", "toxic_a")
 
 
 def half_of(id: str) -> Column:
@@ -70,28 +66,13 @@ def word_counts(labelled: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
-def _layout(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(grams, word numbers, lengths): every position's n-gram as one number, highest byte first."""
-    pad = bytes([BOUNDARY]) * (order - 1)
-    stream = np.frombuffer(b"".join(pad + w + bytes([BOUNDARY]) for w in words), np.uint8).astype(np.int64)
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    number = np.repeat(np.arange(len(words)), lengths)
-    starts = np.cumsum(lengths + order - 1) - lengths - (order - 1)
-    at = np.arange(len(number)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(starts, lengths)
-    grams = np.zeros(len(number), np.int64)
-    for k in range(order):
-        grams = (grams << 8) | stream[at + k]
-    return grams, number, lengths
-
-
 def gram_counts(words: DataFrame, order: int) -> DataFrame:
     """(gram and the same counts) of the byte n-grams of counted words."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 50_000):
             words = batch.column(0).to_pylist()
-            parts = [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
-            many = [-(-len(w) // LONGEST) for w in words]
+            parts, many = cut_words(words)
             grams, number, _ = _layout(parts, order)
             kinds, place = np.unique(grams, return_inverse=True)
             counts = [np.bincount(place, np.repeat(np.asarray(batch.column(k)), many)[number], len(kinds)).astype(np.int64) for k in range(1, 5)]
@@ -101,68 +82,9 @@ def gram_counts(words: DataFrame, order: int) -> DataFrame:
     return rows.groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
-class KneserNey:
-    """Both classes' models over one table of n-grams; counts has a column per class."""
-
-    def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int, shared: int = 2):
-        sort = np.argsort(grams)
-        grams, counts = grams[sort], counts[sort].astype(np.float64)
-        self.order, self.shared, self.levels = order, shared, []
-        for n in range(order, 0, -1):
-            used = np.repeat(counts.sum(axis=1, keepdims=True), 2, axis=1) if n <= shared else counts
-            context, place = np.unique(grams >> 8, return_inverse=True)
-            total = np.stack([np.bincount(place, used[:, c], len(context)) for c in (0, 1)], axis=1)
-            kinds = np.stack([np.bincount(place, used[:, c] > 0, len(context)) for c in (0, 1)], axis=1)
-            safe = np.maximum(total, 1e-12)
-            own = np.maximum(used - DISCOUNT, 0) / safe[place]
-            weight = np.where(total > 0, np.minimum(DISCOUNT * kinds / safe, 1.0), 1.0)
-            self.levels.append((grams, own, context, weight))
-            if n > 1:
-                # Continuation counts: different bytes before; n-grams at a word's start have no byte before.
-                tail = grams & ((1 << 8 * (n - 1)) - 1)
-                start = (grams >> 8 * (n - 1)) == BOUNDARY
-                value = np.where(start[:, None] & (((tail >> 8 * (n - 2)) == BOUNDARY)[:, None]), counts, counts > 0)
-                grams, place = np.unique(tail, return_inverse=True)
-                counts = np.stack([np.bincount(place, value[:, c], len(grams)) for c in (0, 1)], axis=1)
-        self.known = self.levels[0][0]
-        self.ratio = self._ratios(self.known)
-
-    def _ratios(self, grams: np.ndarray) -> np.ndarray:
-        """log P(last byte | bytes before, toxic) - log P(same, ordinary), the latter not less than the backoff's."""
-        p = np.full((len(grams), 2), 1 / 256)
-        for n, (table, own, contexts, weight) in zip(range(1, self.order + 1), reversed(self.levels)):
-            gram = grams & ((1 << 8 * n) - 1)
-            at, found = _place(contexts, gram >> 8)
-            p = np.where(found[:, None], weight[at], 1.0) * p
-            at, found = _place(table, gram)
-            p += np.where(found[:, None], own[at], 0.0)
-            if n == self.shared:
-                backoff = p[:, 0].copy()
-        return np.log(p[:, 1]) - np.log(np.maximum(p[:, 0], backoff))
-
-    def words(self, words: list[bytes]) -> np.ndarray:
-        """The log ratio of each word."""
-        if not words:
-            return np.zeros(0)
-        grams, number, _ = _layout(words, self.order)
-        at, found = _place(self.known, grams)
-        ratio = self.ratio[at]
-        if not found.all():
-            rare, back = np.unique(grams[~found], return_inverse=True)
-            ratio[~found] = self._ratios(rare)[back]
-        return np.bincount(number, ratio, len(words))
-
-
-def _place(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
-    return at, table[at] == values
-
-
 class Evidence:
     """Features of texts under a model; keeps the ratios of words in a bounded table."""
 
-    NAMES = ("mean", "top_1", "top_2", "top_3", "next_5", "log_words")
-
     def __init__(self, model: KneserNey, most: int = 200_000):
         self.model, self.most, self.known = model, most, {}
 
@@ -177,7 +99,7 @@ class Evidence:
         for start in range(0, len(fresh), 20_000):
             part = fresh[start : start + 20_000]
             self.known.update(zip(part, self._long(part).tolist()))
-        out = np.zeros((len(texts), len(self.NAMES)))
+        out = np.zeros((len(texts), len(NAMES)))
         get = self.known.__getitem__
         for row, w in zip(out, words):
             if w:
@@ -191,8 +113,7 @@ class Evidence:
 
     def _long(self, words: list[bytes]) -> np.ndarray:
         """Ratios of words; a longer word has the largest ratio of its parts."""
-        parts = [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
-        many = np.array([-(-len(w) // LONGEST) for w in words])
+        parts, many = cut_words(words)
         return np.maximum.reduceat(self.model.words(parts), np.cumsum(many) - many) if len(words) else np.zeros(0)
 
 
@@ -225,15 +146,15 @@ class ToxicityModel:
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", order: int = 6,
     shared: int = 4, most_grams: int = 1 << 20, sample_rows: int = 20_000,
-) -> ToxicityModel | None:
+) -> ToxicityModel | WideModel | None:
     """Learn from all labelled rows outside the held-out fold; the link from ``sample_rows`` of them."""
     usable = training_labels(labels, label, 5, 0, id)
     words = settle(word_counts(with_labels(docs, usable, id, text)), "words")
-    for n in range(order, 1, -1):
-        grams = gram_counts(words, n)
-        rows = grams.limit(most_grams + 1).toPandas() if n > 2 else grams.toPandas()
-        if n == 2 or len(rows) <= most_grams:
-            break
+    n, grams = order, settle(gram_counts(words, order), "grams")
+    sample = sampled(usable, sample_rows)
+    if grams.count() > most_grams:
+        return _fit_wide(docs, sample, grams, order, shared, id, text)
+    rows = grams.toPandas()
     counts = rows[list(COUNTS)].to_numpy(np.int64)
     if not len(counts) or not counts[:, :2].sum(axis=0).all():
         return None
@@ -253,10 +174,10 @@ def fit_toxicity(
         for batch in slices(batches):
             half, texts = np.asarray(batch.column(1)), batch.column(2).to_pylist()
             x = np.where((half == 0)[:, None], *(e.features(texts) for e in sent.value))
-            yield pa.record_batch([batch.column(0), *map(pa.array, x.T)], ["label", *Evidence.NAMES])
+            yield pa.record_batch([batch.column(0), *map(pa.array, x.T)], ["label", *NAMES])
 
-    sample = with_labels(docs, sampled(usable, sample_rows), id, text).select("label", half_of("doc").alias("half"), "raw")
-    names = list(Evidence.NAMES)
+    sample = with_labels(docs, sample, id, text).select("label", half_of("doc").alias("half"), "raw")
+    names = list(NAMES)
     learnt = sample.mapInArrow(features, "label int, " + ", ".join(f"{c} double" for c in names)).toPandas().sort_values([*names, "label"])
     # The halves' models are done with: tasks and driver need not hold them beside the whole one.
     sent.destroy()
@@ -267,11 +188,35 @@ def fit_toxicity(
     return ToxicityModel(evidence, link)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel | None, text: str = "text", score: str = "score") -> DataFrame:
+def _fit_wide(docs: DataFrame, sample: DataFrame, grams: DataFrame, order: int, shared: int, id: str, text: str) -> WideModel | None:
+    """The same model where its n-grams stay spread over the tasks."""
+    total = grams.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS]).first()
+    if not (total["ordinary"] and total["toxic"]):
+        return None
+    model = wide_grams(grams, order, shared, [total[c] for c in COUNTS])
+    rows = settle(with_labels(docs, sample, id, text).select("label", half_of("doc").alias("half"), "raw"), "sample")
+    # Each half is scored by the model of the other one: 1 for half 0, 2 for half 1.
+    found = wide_features(rows, model, "raw", F.col("half") + 1)
+    learnt = found.select("label", *NAMES).toPandas().sort_values([*NAMES, "label"])
+    if learnt["label"].nunique() < 2:
+        return None
+    model.link = fit_logistic(learnt[list(NAMES)].to_numpy(), (learnt["label"] > 0).to_numpy(float))
+    return model
+
+
+def score_toxicity(docs: DataFrame, model: ToxicityModel | WideModel | None, text: str = "text", score: str = "score") -> DataFrame:
     """All rows and columns of ``docs`` with a score column (replaced if it is there)."""
     rest = docs.drop(score)
     if model is None:
         return rest.withColumn(score, F.lit(0.0))
+    if isinstance(model, WideModel):
+        w, mean, scale = ([float(v) for v in part] for part in model.link)
+        z = F.lit(w[-1])
+        for k, name in enumerate(NAMES):
+            z = z + F.lit(w[k]) * (F.col(name) - F.lit(mean[k])) / F.lit(scale[k])
+        z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))
+        found = wide_features(rest.select(F.struct("*").alias("row"), F.col(text).cast("binary").alias("raw")), model, "raw", F.lit(0))
+        return found.select("row", (1 / (1 + F.exp(-z))).alias("_score")).select("row.*", F.col("_score").alias(score))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     names = rest.columns
     if text not in names:
@@ -291,6 +236,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     slim = docs.select(F.col(id), F.col(text).cast("binary").alias("raw"))
     if model is None:
         found = slim.select(id, F.lit(0.0).alias("score"))
+    elif isinstance(model, WideModel):
+        found = score_toxicity(slim, model, "raw")
     else:
         sent = docs.sparkSession.sparkContext.broadcast(model)
 

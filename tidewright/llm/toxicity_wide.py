@@ -1,0 +1,153 @@
+"""The toxicity model where its n-gram table is too large for one task.
+
+N-grams are grouped by the last two bytes of their context. All orders from 3 on are settled inside such a group: a
+context, its n-grams and the continuation counts below them agree in these bytes. A group has distinct n-grams, not
+occurrences, so a frequent word makes none larger. The order below has at most 65,536 pairs of bytes and goes to every
+task. The words of the texts to score are met with the n-grams' ratios, and texts with their words' ratios, by
+shuffled joins that adaptive execution can split.
+
+Texts are known by a 128-bit hash, so equal texts are looked at once; NULL and empty texts have features of zero.
+"""
+
+from __future__ import annotations
+
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import ALNUM_TABLE, ascii_lower_words, settle, slices
+from .kneser_ney import KneserNey, cut_words, layout
+
+#: Counts of a word or n-gram: by class in all learning rows, and in one half of them.
+COUNTS = ("ordinary", "toxic", "ordinary_a", "toxic_a")
+NAMES = ("mean", "top_1", "top_2", "top_3", "next_5", "log_words")
+#: Ratios under the model of all rows, and under the models that score half 0 and half 1.
+RATIOS = ("r0", "r1", "r2")
+LEAST = 3
+FLUSH = 300_000
+
+
+class WideModel:
+    def __init__(self, grams: DataFrame, order: int, shared: int, bases: list[KneserNey], use: list[int]):
+        self.grams, self.order, self.shared, self.bases, self.use = grams, order, shared, bases, use
+        self.link: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+
+
+def _parts(counts: np.ndarray) -> list[np.ndarray]:
+    return [counts[:, :2], counts[:, :2] - counts[:, 2:], counts[:, 2:]]
+
+
+def _pair(gram: str) -> Column:
+    return F.shiftrightunsigned(gram, 8).bitwiseAND(F.lit(0xFFFF)).alias("pair")
+
+
+def wide_grams(grams: DataFrame, order: int, shared: int, total: list[int]) -> WideModel:
+    """The model over a settled table (gram and counts); ``total`` has the sums of the counts."""
+    if not LEAST <= shared < order:
+        raise ValueError("a spread table needs shared orders from 3 on")
+
+    def rest(group: pd.DataFrame) -> pd.DataFrame:
+        counts, found = group[list(COUNTS)].to_numpy(np.int64), []
+        for k, part in enumerate(_parts(counts)):
+            low, values = KneserNey(group["gram"].to_numpy(np.int64), part, order, shared, LEAST).rest
+            found.append(pd.DataFrame({"model": k, "gram": low, "a": values[:, 0].astype(np.int64), "b": values[:, 1].astype(np.int64)}))
+        return pd.concat(found)
+
+    low = grams.groupBy(_pair("gram")).applyInPandas(rest, "model int, gram long, a long, b long")
+    low = low.groupBy("model", "gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toPandas()  # at most 3 x 65,536 rows
+    bases = [
+        KneserNey(own["gram"].to_numpy(np.int64), own[["a", "b"]].to_numpy(np.int64), LEAST - 1, LEAST - 1)
+        for own in (low[low["model"] == k] for k in range(3))
+    ]
+    # A half that lacks a class leaves its place to the whole.
+    whole = np.array([total])
+    use = [k if part.all() else 0 for k, part in enumerate(_parts(whole))]
+    return WideModel(grams, order, shared, bases, use)
+
+
+def _key(word: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(word)
+
+
+def _word_ratios(texts: DataFrame, model: WideModel) -> DataFrame:
+    """(key, r0, r1, r2) of every distinct word of the texts (column raw)."""
+    order, shared = model.order, model.shared
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in slices(batches):
+            for raw in batch.column(0).to_pylist():
+                seen.update(ascii_lower_words(raw, ALNUM_TABLE))
+            if len(seen) > FLUSH:
+                yield pa.record_batch([pa.array(list(seen), pa.binary())], ["word"])
+                seen.clear()
+        yield pa.record_batch([pa.array(list(seen), pa.binary())], ["word"])
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 5_000):
+            words = batch.column(0).to_pylist()
+            parts, many = cut_words(words)
+            grams, number, _ = layout(parts, order)
+            owner = np.repeat(np.arange(len(words)), many)[number]
+            keys = pa.array([_key(w) for w in words], pa.binary())
+            yield pa.record_batch([keys.take(pa.array(owner)), pa.array(number.astype(np.int32)), pa.array(grams)], ["key", "part", "gram"])
+
+    words = texts.select("raw").mapInArrow(gather, "word binary").distinct()
+    spelt = settle(words.mapInArrow(spell, "key binary, part int, gram long"), "spelt")
+    asked = spelt.select("gram").distinct().select("gram", *[F.lit(0).cast("long").alias(c) for c in COUNTS])
+    table = model.grams.select("gram", *COUNTS).unionByName(asked).groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    sent = texts.sparkSession.sparkContext.broadcast((model.bases, model.use))
+
+    def rate(group: pd.DataFrame) -> pd.DataFrame:
+        bases, use = sent.value
+        grams, parts = group["gram"].to_numpy(np.int64), _parts(group[list(COUNTS)].to_numpy(np.int64))
+        models = [KneserNey(grams, parts[k], order, shared, LEAST, bases[k]) for k in use]
+        return pd.DataFrame({"gram": models[0].known, **{name: m.ratio for name, m in zip(RATIOS, models)}})
+
+    ratios = table.groupBy(_pair("gram")).applyInPandas(rate, "gram long, " + ", ".join(f"{r} double" for r in RATIOS))
+    met = spelt.join(settle(ratios, "ratios"), "gram")
+    # A longer word has the largest ratio of its parts.
+    whole = met.groupBy("key", "part").agg(*[F.sum(r).alias(r) for r in RATIOS])
+    return settle(whole.groupBy("key").agg(*[F.max(r).alias(r) for r in RATIOS]), "word-ratios")
+
+
+def wide_features(rows: DataFrame, model: WideModel, raw: str, which: Column) -> DataFrame:
+    """All rows and columns with the features of the text (UTF-8) under the model of number ``which``."""
+    value = F.coalesce(F.col(raw), F.lit(b""))
+    keyed = rows.withColumns({"_h1": F.xxhash64(value), "_h2": F.xxhash64(F.lit(1), value), "_which": which.cast("int")})
+    ratios = _word_ratios(keyed.select(F.col(raw).alias("raw")), model)
+
+    def per_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            out: list[tuple] = []
+            for h1, h2, which, raw in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                for word, n in Counter(ascii_lower_words(raw, ALNUM_TABLE)).items():
+                    out.append((h1, h2, which, _key(word), n, len(word) + 1))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+    names = ["_h1", "_h2", "_which", "key", "n", "size"]
+    words = keyed.select("_h1", "_h2", "_which", F.col(raw).alias("raw")).mapInArrow(
+        per_text, "_h1 long, _h2 long, _which int, key binary, n long, size long"
+    )
+    # Copies of a text give the same rows once; what is listed per text is no larger than the text.
+    met = words.distinct().join(ratios, "key")
+    ratio = F.when(F.col("_which") == 0, F.col("r0")).when(F.col("_which") == 1, F.col("r1")).otherwise(F.col("r2"))
+    best = F.slice(F.sort_array(F.collect_list(F.struct(ratio.alias("r"), F.least("n", F.lit(8)).cast("int").alias("n"))), asc=False), 1, 8)
+    found = met.groupBy("_h1", "_h2", "_which").agg(
+        (F.sum(F.col("n") * ratio) / F.sum(F.col("n") * F.col("size"))).alias("mean"), best.alias("best"), F.log1p(F.sum("n")).alias("log_words")
+    )
+    clipped = F.flatten(F.transform("best", lambda b: F.array_repeat(F.least(F.lit(12.0), F.greatest(F.lit(0.0), b["r"])), b["n"])))
+    found = found.withColumn("top", F.slice(clipped, 1, 8))
+    top = [F.coalesce(F.get("top", F.lit(k)), F.lit(0.0)) for k in range(8)]
+    values = {"mean": F.col("mean"), "top_1": top[0], "top_2": top[1], "top_3": top[2], "next_5": (top[3] + top[4] + top[5] + top[6] + top[7]) / 5, "log_words": F.col("log_words")}
+    found = settle(found.select("_h1", "_h2", "_which", *[values[n].alias(n) for n in NAMES]), "features")
+    joined = keyed.join(found, ["_h1", "_h2", "_which"], "left")
+    return joined.select(*rows.columns, *[F.coalesce(n, F.lit(0.0)).alias(n) for n in NAMES])
