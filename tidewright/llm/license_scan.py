@@ -95,7 +95,8 @@ NAMES = (
     ("osl-3.0", "open", r"open software licen[cs]e"),
     ("qpl", "q", r"q public licen[cs]e"),
     ("vim", "vim", r"vim licen[cs]e"),
-    ("beerware", "beer", r"beer ?ware licen[cs]e"),
+    ("beerware", "beer", r"beer ware licen[cs]e"),
+    ("beerware", "beerware", r"beerware licen[cs]e"),
     ("openssl", "openssl", r"openssl licen[cs]e"),
     ("postgresql", "postgresql", r"postgresql licen[cs]e"),
     ("bsl-1.1", "business", r"business source licen[cs]e"),
