@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, license_scan, line_dedup, packing, quality_gam, simhash, token_counts, token_files, toxicity, winnowing
+from . import decontaminate, divergence, license_scan, line_dedup, packing, quality_gam, simhash, token_counts, token_files, toxicity, winnowing
 from .common import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,50 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.simhash_components(_read(spark, folder, "documents"))
+
+
+#: Exact with 128-bit whole numbers; the terms of every pair of sources are met one by one.
+OP11_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), words AS (
+    SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (
+    SELECT lang, term, count(*)::HUGEINT AS c FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 30
+), langs AS (
+    SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS n FROM kept GROUP BY lang
+), counts AS (
+    SELECT lang, source, term, count(*)::HUGEINT AS c FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term
+), totals AS (
+    SELECT lang, source, sum(c)::HUGEINT AS n FROM counts GROUP BY lang, source
+), groups AS (
+    SELECT g.lang, g.source, coalesce(t.n, 0)::HUGEINT AS n, l.v
+    FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN totals t USING (lang, source) LEFT JOIN langs l USING (lang)
+), shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+           1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 5)) // (g.n + 5 * g.v) AS p,
+           1 + (1000000000::HUGEINT * (k.c + 5)) // (l.n + 5 * l.v) AS q
+    FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), met AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(m.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN met m ON m.lang = a.lang AND m.source = a.source AND m.item = b.source
+), found AS (
+    SELECT * FROM pairs
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE c > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@_query("op11_level_products", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and its telling terms."""
+    return divergence.divergence(_read(spark, folder, "documents"))
