@@ -113,6 +113,7 @@ class Levels:
             owner += [s] * len(levels)
             prices += [price(int(c), total, kept) for c in levels]
         self.owner, self.prices, self.column = np.array(owner, np.int64), np.array(prices, np.int64), column
+        self.unused = np.array([price(0, int(rows["total"].iat[at]), int(rows["kinds"].iat[at])) if rows["kinds"].iat[at] else 0 for at in first], np.int64)
 
     def panels(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(one-hot columns, their sources, their prices) of at most PANEL columns at a time."""
@@ -124,9 +125,10 @@ class Levels:
             yield ones, self.owner[low:high], self.prices[low:high]
 
 
-def joint_divergence(a: Levels, b: Levels) -> np.ndarray:
-    """Per pair of sources: the joint tables of their levels, each entry priced by the difference of the levels."""
-    out = np.zeros((len(a.sources), len(b.sources)), np.int64)
+def joint_divergence(a: Levels, b: Levels, unused: int = 0) -> np.ndarray:
+    """Per pair of sources: the joint tables of their levels, each entry priced by the difference of the levels.
+    ``unused`` terms have no occurrence in either block; they are all in the levels of count 0."""
+    out = unused * np.abs(a.unused[:, None] - b.unused[None, :])
     for left, own, price_a in a.panels():
         for right, other, price_b in b.panels():
             joint = (left.T @ right).astype(np.int64)
@@ -142,7 +144,7 @@ def _pairs(group: pd.DataFrame) -> pd.DataFrame:
     low, high = int(group["low"].iat[0]), int(group["high"].iat[0])
     a = Levels(group[group["own"] == low], terms)
     b = a if low == high else Levels(group[group["own"] == high], terms)
-    value = joint_divergence(a, b)
+    value = joint_divergence(a, b, int(group["size"].max()) - len(terms))
     i, j = (x.ravel() for x in np.indices(value.shape))
     found = [(a.sources[i], b.sources[j], value.ravel())]
     if low != high:
@@ -174,14 +176,18 @@ def divergence(
         .withColumn("term_blocks", F.greatest(F.lit(1), F.ceil(F.col("kinds") / block_terms)).cast("int")), "groups",
     )
 
-    # Every group stands once in each of its blocks without a term, so that a block knows all its sources.
+    # Every group stands once in each of its blocks without a term, so that a block knows all its sources and how many
+    # terms it has, also those that none of them uses.
     rows = kept.select("lang", "source", "term", "n").join(groups, ["lang", "source"])
     rows = rows.withColumn("block", F.pmod(F.xxhash64("term"), F.col("term_blocks")).cast("int"))
     bare = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("term_blocks") - 1)))
-    bare = bare.withColumns({"term": F.lit(None).cast("string"), "n": F.lit(0).cast("long")})
+    number = kept.select("lang", "term").distinct().join(groups.groupBy("lang").agg(F.max("term_blocks").alias("term_blocks")), "lang")
+    number = number.groupBy("lang", F.pmod(F.xxhash64("term"), F.col("term_blocks")).cast("int").alias("block")).agg(F.count("*").alias("size"))
+    bare = bare.join(number, ["lang", "block"], "left").withColumns({"term": F.lit(None).cast("string"), "n": F.lit(0).cast("long"), "size": F.coalesce("size", F.lit(0))})
+    rows = rows.withColumn("size", F.lit(0).cast("long"))
     dealt = rows.unionByName(bare).withColumn("own", F.pmod(F.xxhash64("source"), F.col("source_blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("source_blocks") - 1)))
-    dealt = dealt.select("lang", "block", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "source", "term", "n", "total", "kinds")
+    dealt = dealt.select("lang", "block", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "source", "term", "n", "total", "kinds", "size")
     found = dealt.groupBy("lang", "block", "low", "high").applyInPandas(_pairs, "lang string, source string, item string, value long")
     pairs = found.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
