@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, divergence, license_scan, line_dedup, packing, quality_gam, simhash, token_counts, token_files, toxicity, winnowing
+from . import collocations, decontaminate, divergence, license_scan, line_dedup, packing, quality_gam, simhash, suffix_dedup, token_counts, token_files, toxicity, winnowing
 from .common import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,58 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank F
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     """Divergence of every source from the others of its language, and its telling terms."""
     return divergence.divergence(_read(spark, folder, "documents"))
+
+
+#: Every n-gram of every piece, joined with its parts and with the phrases that hold it.
+OP12_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), places AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM places, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(w)
+), totals AS (
+    SELECT lang, count(*) AS n FROM places GROUP BY lang
+), known AS (
+    SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
+), candidates AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM known WHERE k >= 2
+), cuts AS (
+    SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS cut FROM candidates
+), rated AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+    FROM cuts c
+    JOIN known x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+    JOIN known y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')
+), best AS (
+    SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+    SELECT c.lang, c.a AS longer, array_to_string(c.w[i:i + m - 1], ' ') AS phrase
+    FROM candidates c, (SELECT unnest([1, 2, 3]) AS i), (SELECT unnest([2, 3]) AS m) WHERE i + m - 1 <= c.k AND m < c.k
+), gone AS (
+    SELECT DISTINCT i.lang, i.phrase FROM inside i JOIN known x ON x.lang = i.lang AND x.phrase = i.phrase WHERE 100 * i.longer >= 80 * x.f
+), ranked AS (
+    SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM best b ANTI JOIN gone g ON g.lang = b.lang AND g.phrase = b.phrase
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@_query("op12_collocations", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2,000 collocations of every language."""
+    return collocations.collocations(_read(spark, folder, "documents"))
+
+
+@_query("op13_suffix_dedup")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the passages of 400 bytes that stand anywhere else too."""
+    found = suffix_dedup.remove_repeats(_read(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
