@@ -1,7 +1,7 @@
 """Suffix arrays and common prefixes in numpy: refinement of unsorted groups, and common prefixes carried along a text.
 
-Suffixes are ordered by their first ``depth`` bytes at least; equal ones share a group. All positions are those of one
-block of bytes of bounded size.
+All positions are those of one block of bytes of bounded size. The order is that of whole suffixes, since only then a
+common prefix can be carried from one position to the next.
 """
 
 from __future__ import annotations
@@ -25,22 +25,24 @@ class Block:
         self.words = words
 
 
-def suffix_array(block: Block, depth: int) -> np.ndarray:
+def suffix_array(block: Block) -> np.ndarray:
     """Positions in the order of their suffixes. Groups that share their first h bytes are split by the group of the
-    suffix h bytes further on, and only groups of more than one are looked at again; h doubles each time."""
+    suffix h bytes further on, and only groups of more than one are looked at again; h doubles each time. A suffix that
+    ends earlier comes first."""
     n, words = block.size, block.words[: block.size]
     sa = np.argsort(words, kind="stable")
     new = np.ones(n, bool)
     new[1:] = words[sa[1:]] != words[sa[:-1]]
-    rank = np.full(n + 1, -1, np.int64)
+    rank = np.empty(n, np.int64)
     rank[sa] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     h = WORD
-    while h < depth:
+    while h < 2 * n:
         open_ = np.flatnonzero(~(new & np.append(new[1:], True)))
         if not len(open_):
             break
         at = sa[open_]
-        key = rank[at] * (n + 2) + rank[np.minimum(at + h, n)] + 1
+        later = np.where(at + h < n, rank[np.minimum(at + h, n - 1)] + n, n - at - 1)
+        key = rank[at] * (2 * n) + later
         order = np.argsort(key, kind="stable")
         at, key = at[order], key[order]
         sa[open_] = at

@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import settle, slices
 from .suffix_arrays import Block, common_prefixes, equal, search, suffix_array
@@ -226,7 +227,7 @@ class Piece:
         group = rows["group"].to_numpy(np.int64)
         self.slot = group[owner] * (4 * length) + within + rows["low"].to_numpy(np.int64)[owner] + 2 * length
         self.repeated = self.whole & (rows["m"].to_numpy(np.int64) > 1)[owner]
-        self.sa = suffix_array(self.block, length)
+        self.sa = suffix_array(self.block)
         prefixes = common_prefixes(self.block, self.sa, self.starts, sizes, length)
         self.run = np.cumsum(prefixes < length)
         self.sizes = sizes
@@ -406,10 +407,10 @@ def remove_repeats(
             values = [pa.array(v, t) for v, t in zip((kept, n_bytes, removed, n_spans, sums), (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *values], names=["row", *own])
 
-    row = rows.schema["row"].dataType.simpleString()
-    keyed = rows.mapInArrow(hashed, rows.schema.add("t1", "long").add("t2", "long"))
+    fields = rows.schema.fields
+    keyed = rows.mapInArrow(hashed, StructType([*fields]).add("t1", "long").add("t2", "long"))
     met = keyed.join(spans, ["t1", "t2"], "left").select("row", "raw", "spans")
-    schema = rows.select("row").schema
+    schema = StructType(fields[:1])
     for name, kind in zip(own, ("binary", "long", "long", "long", "string")):
         schema = schema.add(name, kind)
     return met.mapInArrow(cut, schema).select(*[F.col("row")[c].alias(c) for c in rest], *own)
