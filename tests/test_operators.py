@@ -93,15 +93,15 @@ def by_key(data):
     return out
 
 
-@pytest.mark.parametrize("seconds, merge", [(None, None), (1800, None), (86_400, None), (1800, 25), (1800, 10_000)])
-def test_lags_and_forward_sum_are_the_same_sliced_or_not(spark, seconds, merge):
+@pytest.mark.parametrize("slice_rows", [None, 7, 25, 90, 10_000])
+def test_lags_and_forward_sum_are_the_same_sliced_or_not(spark, slice_rows):
     data = timeline(7)
     df = spark.createDataFrame(data, "id int, k string, ts timestamp, v double")
     specs = {"l1": ("v", 1), "l12": ("v", 12), "a2": ("v", -2)}
-    lagged = {r["id"]: r for r in lags(df, ["k"], "ts", specs, ["id"], seconds, merge).collect()}
+    lagged = {r["id"]: r for r in lags(df, ["k"], "ts", specs, ["id"], slice_rows).collect()}
     summed = {
         r["id"]: r["s"]
-        for r in forward_sum(df, ["k"], "ts", "v", 2, 1, "s", ["id"], slice_seconds=seconds, slice_rows=merge).collect()
+        for r in forward_sum(df, ["k"], "ts", "v", 2, 1, "s", ["id"], slice_rows=slice_rows).collect()
     }
     assert len(lagged) == len(summed) == len(data)
     for series in by_key(data).values():
@@ -345,15 +345,27 @@ def test_calendar_counts_sunday_as_one(spark):
     assert rows(calendar(df, "ts").drop("ts")) == [(0, 2, False), (5, 1, True)]
 
 
-def test_merged_slices_cut_only_busy_keys(spark):
+def test_slices_split_a_burst_of_one_second(spark):
     from tidewright.operators.timeline import CARRIED, SLICE, with_neighbours
 
-    data = [("hot", at(i / 60), i) for i in range(600)] + [("quiet", at(24 * i), i) for i in range(9)] + [(None, at(0), 1), ("hot", None, 7)]
-    df = spark.createDataFrame(data, "k string, ts timestamp, v int")
-    cut = with_neighbours(df, ["k"], ["ts", "v"], ["v"], 600, 2, 1, slice_rows=100)
-    own = cut.where(~F.col(CARRIED))
-    assert own.count() == len(data)
-    sizes = {(r["k"], r[SLICE]): r["count"] for r in own.groupBy("k", SLICE).count().collect()}
-    assert max(sizes.values()) <= 110 and len([s for s in sizes if s[0] == "hot"]) == 6
-    assert [s for s in sizes if s[0] == "quiet"] == [("quiet", 0)]
-    assert cut.where(CARRIED).count() == 5 * 3
+    for n in (4_000, 16_000):
+        # Nine rows of ten have one key and one second; NULL keys and times are there, too.
+        busy = spark.range(n * 9 // 10).select(F.lit("hot").alias("k"), F.lit(at(0)).alias("ts"), F.col("id").cast("int").alias("v"))
+        calm = spark.range(n // 10).select(
+            F.when(F.col("id") % 7 > 0, F.concat(F.lit("k"), F.col("id") % 5)).alias("k"),
+            F.when(F.col("id") % 9 > 0, F.timestamp_seconds(F.col("id") * 60)).alias("ts"), F.col("id").cast("int").alias("v"),
+        )
+        df = busy.unionByName(calm)
+        cut = with_neighbours(df, ["k"], ["ts", "v"], ["v"], 500, 2, 1)
+        own = cut.where(~F.col(CARRIED))
+        assert own.count() == n
+        assert max(r["count"] for r in own.groupBy("k", SLICE).count().collect()) <= 1_000
+        found = lags(df, ["k"], "ts", {"l": ("v", 2), "a": ("v", -1)}, ["v"], 500).where("k = 'hot'").orderBy("v").collect()
+        values = [r["v"] for r in found]
+        assert [r["l"] for r in found] == [None, None, *values[:-2]] and [r["a"] for r in found] == [*values[1:], None]
+
+
+def test_sliced_plan_reads_the_settled_table_twice(spark):
+    df = spark.range(1_000).select(F.lit("k").alias("k"), F.timestamp_seconds("id").alias("ts"), "id")
+    plan = forward_sum(df, ["k"], "ts", "id", tiebreak=["id"], slice_rows=100)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") <= 2

@@ -141,7 +141,7 @@ def test_features(gold):
     assert z[8]["wave_height_max_6h"] == 0.5 and z[8]["wave_height_max_24h"] == 3.0
     assert z[0]["wave_height_std_24h"] is None and z[0]["day_of_week"] == 1 and z[0]["is_weekend"]
     assert z[1]["safety_level"] == "PELIGRO" and z[0]["safety_level"] == "SEGURO"
-    sliced = features(gold, AS_OF, slice_seconds=6 * 3600)
+    sliced = features(gold, AS_OF, slice_rows=10)
     assert rows(sliced) == rows(full)
     assert features(gold, AS_OF + dt.timedelta(hours=10), horizon_hours=5).count() == 10
 

@@ -19,7 +19,8 @@ from tidewright.operators.windows import (
     verify_forward_sum,
 )
 
-DAY = 86_400
+#: Rows of a slice of a timeline.
+SLICE_ROWS = 1 << 20
 
 
 @query(
@@ -156,7 +157,7 @@ def forward_sum_time(t):
 def forward_sum_sliced(t):
     rows = readings(t).select("event_id", "event_type", "ts", "cents")
     summed = forward_sum(
-        rows, ["event_type"], "ts", "cents", 2, None, "total", tiebreak=["event_id"], slice_seconds=DAY
+        rows, ["event_type"], "ts", "cents", 2, None, "total", tiebreak=["event_id"], slice_rows=SLICE_ROWS
     )
     return summed.select("event_id", "event_type", "ts", "total")
 
@@ -227,7 +228,7 @@ def lags_sliced(t):
     rows = readings(t).select("event_id", "event_type", "ts", "cents", "k")
     specs = {"lag_1": ("cents", 1), "lag_12": ("cents", 12), "lead_2": ("k", -2)}
     found = lags(
-        rows, ["event_type"], "ts", specs, tiebreak=["event_id"], slice_seconds=600, slice_rows=100_000
+        rows, ["event_type"], "ts", specs, tiebreak=["event_id"], slice_rows=SLICE_ROWS
     )
     return found.select("event_id", "event_type", "ts", *specs)
 

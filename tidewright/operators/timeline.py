@@ -1,9 +1,10 @@
-"""Cutting long timelines into slices, so that no task has to hold a whole key.
+"""Cutting long timelines into slices of rows, so that no task has to hold a whole key.
 
-A window partitioned by key alone puts every row of that key into one task. When a key may hold a
-large share of all rows, its timeline is cut into slices of fixed length and each slice is given the
-few neighbouring rows that its frames reach into. Group size then depends on the slice length, and a
-frame of *n* rows still sees exactly the rows it would see on the uncut timeline.
+A window partitioned by key alone puts every row of that key into one task. When a key may hold a large share of all
+rows, the table is range-partitioned by key and full order instead, and the partition a row falls into is its slice. A
+slice is bounded by rows, not by time: a burst of readings in one second is cut like any other stretch. Each slice gets
+the few neighbouring rows that its frames reach into, taken from a summary of the slices' edges. Group size then depends
+on the wished slice size alone, and a frame of *n* rows still sees exactly the rows it would see on the uncut timeline.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewright.functions.scalars import epoch_seconds
-from tidewright.operators.shape import join_null_safe
+from tidewright.session import settle
 
 SLICE = "_slice"
 CARRIED = "_carried"
@@ -29,23 +30,22 @@ def with_neighbours(
     by: list[str],
     order: list[str],
     values: list[str],
-    slice_seconds: int,
+    slice_rows: int,
     before: int = 0,
     after: int = 0,
-    slice_rows: int | None = None,
 ) -> DataFrame:
     """Add a slice number and copies of the ``before`` / ``after`` rows next to each slice.
 
-    ``order`` starts with the timestamp and must be a total order within ``by``. Copies carry the
-    keys, the order columns and ``values``, and are marked in the ``_carried`` column: windows over
-    (``by``, slice) whose row frames stay within these bounds are exact on the unmarked rows.
+    ``order`` must be a total order within ``by``. Copies carry the keys, the order columns and ``values``, and are
+    marked in the ``_carried`` column: windows over (``by``, slice) whose row frames stay within these bounds are exact
+    on the unmarked rows. Slices have about ``slice_rows`` rows, by Spark's sample of the range bounds, which should be
+    many more than the copies.
 
-    Each slice costs up to ``before + after`` copies, so it should hold many more rows than that.
-    With ``slice_rows`` neighbouring slices of a key are merged until they hold about that many rows:
-    quiet keys then stay in one piece and only busy stretches are cut finely.
+    The cut table is settled in the shared folder, so that the edges and the rows agree on one set of bounds.
     """
-    cut = df.withColumn(SLICE, slice_of(order[0], slice_seconds))
-    sliced = (_merge_slices(cut, by, slice_rows) if slice_rows else cut).withColumn(CARRIED, F.lit(False))
+    slices = max(1, -(-df.count() // slice_rows))
+    cut = df.repartitionByRange(slices, *by, *order).withColumn(SLICE, F.spark_partition_id())
+    sliced = settle(cut, "timeline").withColumn(CARRIED, F.lit(False))
     columns = list(dict.fromkeys([*order, *values]))
     lean = sliced.select(*by, SLICE, *columns)
     copies = []
@@ -58,15 +58,6 @@ def with_neighbours(
     return sliced
 
 
-def _merge_slices(cut: DataFrame, by: list[str], slice_rows: int) -> DataFrame:
-    """Number slices by the rows that precede them instead of by time; the order along a key stays the same."""
-    sizes = cut.groupBy(*by, SLICE).agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    merged = F.floor(F.coalesce(F.sum("_size").over(earlier), F.lit(0)) / F.lit(slice_rows))
-    placed = sizes.select(*by, SLICE, merged.alias("_merged"))
-    return join_null_safe(cut, placed, [*by, SLICE]).drop(SLICE).withColumnRenamed("_merged", SLICE)
-
-
 def _carry(lean: DataFrame, by: list[str], order: list[str], columns: list[str], n: int, forward: bool) -> DataFrame:
     # Only the n rows at the near edge of each slice can be wanted by a neighbour. Ranking with a
     # bound lets every task drop the rest before the shuffle.

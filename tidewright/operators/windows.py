@@ -80,15 +80,14 @@ def _rows_window(
     by: list[str],
     order: list[str],
     values: list[str],
-    slice_seconds: int | None,
     slice_rows: int | None,
     before: int = 0,
     after: int = 0,
 ) -> tuple[DataFrame, WindowSpec]:
     """The frame and the ordered window to use: per key, or per slice with its neighbours."""
-    if slice_seconds is None:
+    if slice_rows is None:
         return df, Window.partitionBy(*by).orderBy(*order)
-    cut = with_neighbours(df, by, order, values, slice_seconds, before, after, slice_rows)
+    cut = with_neighbours(df, by, order, values, slice_rows, before, after)
     return cut, Window.partitionBy(*by, SLICE).orderBy(*order)
 
 
@@ -105,12 +104,13 @@ def forward_sum(
     digits: int | None = 1,
     out: str = "forward_sum",
     tiebreak: list[str] = (),
-    slice_seconds: int | None = None,
-    by_time: bool = False,
     slice_rows: int | None = None,
+    by_time: bool = False,
 ) -> DataFrame:
     """The row's value plus the next ``n`` rows, missing values counting as zero.
 
+    With ``slice_rows`` the timelines are cut into slices of about that many rows, for keys that may hold more rows than
+    a task should; ``ts`` and ``tiebreak`` must then be a total order within a key.
     ``by_time`` sums the next ``n`` hours instead, so that gaps in the series do not widen the frame.
     """
     value = F.coalesce(F.col(col).cast("double"), F.lit(0.0))
@@ -118,7 +118,7 @@ def forward_sum(
         ahead = trailing_stats(df.withColumn("_value", value), by, ts, {out: ("_value", "sum", n * HOUR)}, forward=True)
         total = F.col(out)
         return ahead.withColumn(out, F.round(total, digits) if digits is not None else total).drop("_value")
-    cut, order = _rows_window(df, by, [ts, *tiebreak], [col], slice_seconds, slice_rows, after=n)
+    cut, order = _rows_window(df, by, [ts, *tiebreak], [col], slice_rows, after=n)
     total = F.sum(value).over(order.rowsBetween(0, n))
     return _own_rows(cut.withColumn(out, F.round(total, digits) if digits is not None else total))
 
@@ -129,14 +129,16 @@ def lags(
     ts: str,
     specs: dict[str, tuple[str, int]],
     tiebreak: list[str] = (),
-    slice_seconds: int | None = None,
     slice_rows: int | None = None,
 ) -> DataFrame:
-    """Earlier values by row offset: ``{output: (column, rows back)}``; negative offsets look ahead."""
+    """Earlier values by row offset: ``{output: (column, rows back)}``; negative offsets look ahead.
+
+    ``slice_rows`` as in ``forward_sum``.
+    """
     back = max([0, *[n for _, n in specs.values()]])
     ahead = max([0, *[-n for _, n in specs.values()]])
     values = [c for c, _ in specs.values()]
-    cut, order = _rows_window(df, by, [ts, *tiebreak], values, slice_seconds, slice_rows, back, ahead)
+    cut, order = _rows_window(df, by, [ts, *tiebreak], values, slice_rows, back, ahead)
     return _own_rows(cut.withColumns({out: F.lag(c, n).over(order) for out, (c, n) in specs.items()}))
 
 
@@ -147,12 +149,11 @@ def deltas(
     cols: dict[str, str],
     n: int = 3,
     tiebreak: list[str] = (),
-    slice_seconds: int | None = None,
     slice_rows: int | None = None,
 ) -> DataFrame:
     """Change of each column against ``n`` rows earlier: ``{output: column}``."""
     specs = {f"_lag_{out}": (c, n) for out, c in cols.items()}
-    lagged = lags(df, by, ts, specs, tiebreak, slice_seconds, slice_rows)
+    lagged = lags(df, by, ts, specs, tiebreak, slice_rows)
     changed = lagged.withColumns({out: F.col(c) - F.col(f"_lag_{out}") for out, c in cols.items()})
     return changed.drop(*specs)
 
@@ -166,12 +167,11 @@ def verify_forward_sum(
     n: int = 2,
     tolerance: float = 0.1,
     tiebreak: list[str] = (),
-    slice_seconds: int | None = None,
     slice_rows: int | None = None,
 ) -> DataFrame:
     """Recompute a stored forward sum from look-ahead values: MATCH or DIFF, and OK, NULL or ERROR against the row's own value."""
     specs = {f"_ahead_{k}": (col, -k) for k in range(1, n + 1)}
-    seen = lags(df, by, ts, specs, tiebreak, slice_seconds, slice_rows)
+    seen = lags(df, by, ts, specs, tiebreak, slice_rows)
     expected = F.coalesce(F.col(col).cast("double"), F.lit(0.0))
     for name in specs:
         expected = expected + F.coalesce(F.col(name), F.lit(0.0))
@@ -230,6 +230,9 @@ def _combine(stat: str, a: dict[str, Column], b: dict[str, Column]) -> Column:
     return F.when(n > 1, F.sqrt(spread / (n - 1)))
 
 
+_FIGURES = {"mean": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "std": F.stddev_samp}
+
+
 def trailing_stats(
     df: DataFrame,
     by: list[str],
@@ -240,18 +243,33 @@ def trailing_stats(
 ) -> DataFrame:
     """Statistics over trailing time frames, both ends included: ``{output: (column, statistic, seconds)}``.
 
-    Statistics are mean, sum, max, min and std (sample); ``forward`` looks ahead instead of back.
-    Time is cut into blocks as long as the frame, so a frame always covers the end of one block and
-    the start of the next. Each block receives its own rows and, moved by the frame length, the rows
-    of the block before it: the part in the same block is then a running figure read forwards, the
-    part in the earlier block a running figure read backwards. Both are single passes, so a frame
-    costs the same however many rows it spans, and no task holds more than two frame lengths of a key.
+    Statistics are mean, sum, max, min and std (sample); ``forward`` looks ahead instead of back. All frame lengths share
+    one shuffle and one sort per key. Rows without a time are one another's peers.
 
-    ``collapse`` is for raw readings with many rows per key and second: they are combined per second
-    before the shuffle, the frames run over at most one row per second, and the figures are joined back.
+    ``collapse`` is for raw readings with many rows per key and second, whose keys no task should hold: they are
+    combined per second before the shuffle, the frames run over at most one row per second in blocks of the frame's
+    length, and the figures are joined back.
     """
     if collapse:
         return _trailing_collapsed(df, by, ts, specs, forward)
+    order = Window.partitionBy(*by).orderBy(epoch_seconds(ts))
+
+    def frame(seconds: int) -> WindowSpec:
+        return order.rangeBetween(0, seconds) if forward else order.rangeBetween(-seconds, 0)
+
+    return df.withColumns({out: _FIGURES[stat](c).over(frame(seconds)) for out, (c, stat, seconds) in specs.items()})
+
+
+def _trailing_blocks(
+    df: DataFrame, by: list[str], ts: str, specs: dict[str, tuple[str, str, int]], forward: bool
+) -> DataFrame:
+    """Trailing frames over many rows of a key, without holding the key in one task.
+
+    Time is cut into blocks as long as the frame, so a frame always covers the end of one block and the start of the
+    next. Each block receives its own rows and, moved by the frame length, the rows of the block before it: the part in
+    the same block is then a running figure read forwards, the part in the earlier block a running figure read
+    backwards. Both are single passes, and no task holds more than two frame lengths of a key.
+    """
     widths = sorted({seconds for _, _, seconds in specs.values()}, reverse=True)
     widest = widths[0]
     columns = list(dict.fromkeys(c for c, _, _ in specs.values()))
@@ -321,7 +339,7 @@ def _trailing_collapsed(
         for c, stat, width in specs.values()
         for piece in needed[stat]
     }
-    ran = trailing_stats(seconds, by, "_second", wanted, forward)
+    ran = _trailing_blocks(seconds, by, "_second", wanted, forward)
 
     def figure(c: str, stat: str, width: int) -> Column:
         part = {piece: F.col(f"_{piece}_{c}_{width}") for piece in needed[stat]}

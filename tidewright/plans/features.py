@@ -40,7 +40,7 @@ def features(
     zone_hour: DataFrame,
     as_of=None,
     horizon_hours: float | None = None,
-    slice_seconds: int | None = None,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Target, level and model inputs per zone and hour.
 
@@ -56,8 +56,8 @@ def features(
         "safety_level", safety_level("risk_score", visibility_km="visibility_km", variant="features")
     )
     trailing = trailing_stats(scored, ["zona_id"], "timestamp_forecast", TRAILING)
-    lagged = lags(trailing, ["zona_id"], "timestamp_forecast", LAGGED, slice_seconds=slice_seconds)
-    trended = deltas(lagged, ["zona_id"], "timestamp_forecast", TRENDS, 3, slice_seconds=slice_seconds)
+    lagged = lags(trailing, ["zona_id"], "timestamp_forecast", LAGGED, slice_rows=slice_rows)
+    trended = deltas(lagged, ["zona_id"], "timestamp_forecast", TRENDS, 3, slice_rows=slice_rows)
     full = calendar(interactions(trended, PRODUCTS), "timestamp_forecast").select(*FEATURE_COLUMNS)
     if horizon_hours is not None:
         full = in_horizon(full, "timestamp_forecast", as_of, horizon_hours)
