@@ -40,7 +40,7 @@ PIECES = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 9 else 46 if c in b".,;:!
 SHARD_VOCABULARY, SHARD_PATHS = 60_000, 2_000_000
 
 #: Paths of a range, and sampled paths that stand for them.
-RANGE_PATHS, RANGE_SAMPLES = 4_000_000, 32
+RANGE_PATHS, RANGE_SAMPLES = 1_000_000, 32
 
 SCALE = 2_000_000
 
@@ -119,8 +119,8 @@ def _rows(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def find_ranges(docs: DataFrame, text: str, lang: str, range_paths: int = RANGE_PATHS) -> Ranges:
-    """Bounds about ``range_paths`` paths apart. One bound is kept for that many words of text (some twenty megabytes),
-    so what the driver and the tasks hold of them is about a millionth of the texts."""
+    """Bounds about ``range_paths`` paths apart. One bound is kept for that many words of text (some five megabytes),
+    so what the driver and the tasks hold of them is a few millionths of the texts."""
     part = 16 if range_paths >= 1 << 16 else 1
     stride = max(1, range_paths // (RANGE_SAMPLES * part))
 
@@ -195,11 +195,12 @@ def united(sections: list[bytes], least: int, edges: set[tuple[bytes, ...]]) ->
     number = {w: k for k, w in enumerate(words, 1)}
     columns, weights = [], []
     for a in automata:
-        rank = np.array([0, *(number[w] for w in a.words)], np.int64)
+        rank = np.array([0, *(number[w] for w in a.words)], np.int32)
         paths, weight = a.paths()
         columns.append(rank[paths])
         weights.append(weight)
     paths, weights = np.concatenate(columns), np.concatenate(weights)
+    del automata, columns
     total = int(weights.sum())
     found, phrases, known, state = [], [()], {(): 0}, np.zeros(len(paths), np.int64)
     for depth in range(ORDER):
