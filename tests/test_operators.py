@@ -369,3 +369,42 @@ def test_sliced_plan_reads_the_settled_table_twice(spark):
     df = spark.range(1_000).select(F.lit("k").alias("k"), F.timestamp_seconds("id").alias("ts"), "id")
     plan = forward_sum(df, ["k"], "ts", "id", tiebreak=["id"], slice_rows=100)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parquet") <= 2
+
+
+def test_quartiles_of_all_columns_in_two_passes(spark, monkeypatch):
+    import tidewright.operators.aggregates as aggregates
+    from tidewright.operators.aggregates import quartiles
+
+    rng = random.Random(4)
+    data = [(i, rng.randrange(50), None if i % 5 else rng.gauss(0, 1), 1e15 if i == 7 else i % 3 / 8, None) for i in range(6_000)]
+    df = spark.createDataFrame(data, "a bigint, b bigint, c double, d double, e double")
+    for most in (1 << 21, 100):  # the second narrows the brackets further
+        monkeypatch.setattr(aggregates, "MOST_INSIDE", most)
+        found = {(r["column_name"], r["share"]): r["value"] for r in quartiles(df, ["a", "b", "c", "d", "e"], (0.0, 0.25, 0.5, 0.9, 1.0)).collect()}
+        assert len(found) == 20
+        for k, c in enumerate("abcd"):
+            values = sorted(r[k] for r in data if r[k] is not None)
+            for share in (0.0, 0.25, 0.5, 0.9, 1.0):
+                place = share * (len(values) - 1)
+                low, high = values[int(place)], values[min(int(place) + 1, len(values) - 1)]
+                assert found[c, share] == pytest.approx(low + (high - low) * (place % 1), rel=1e-12)
+    assert quartiles(df.limit(0), ["a", "c"]).collect() == []
+
+
+def test_stacked_integration(spark):
+    from tidewright.operators.joins import integrate_all, integrate_stack, stack_feeds
+
+    a = spark.createDataFrame([("x", 1, 2.0, [1]), ("y", 1, 3.0, None), (None, 1, 9.0, [2])], "z string, h int, a double, l array<int>")
+    b = spark.createDataFrame([("x", 1, "s"), ("w", 2, "t"), (None, 1, "n")], "z string, h int, b string")
+    met = integrate_all([a, b], ["z", "h"])
+    assert met.columns == ["z", "h", "a", "l", "b"]
+    assert rows(met) == sorted([("x", 1, 2.0, [1], "s"), ("y", 1, 3.0, None, None), (None, 1, 9.0, [2], None), ("w", 2, None, None, "t"), (None, 1, None, None, "n")], key=repr)
+    assert rows(integrate(spark.createDataFrame([("x", 1), (None, 1), ("q", 7)], "z string, h int"), [a, b], ["z", "h"])) == sorted(
+        [("x", 1, 2.0, [1], "s"), (None, 1, None, None, None), ("q", 7, None, None, None)], key=repr
+    )
+    many = a.unionByName(a)
+    stacked = stack_feeds({"a": many, "b": b, "c": b})
+    found = integrate_stack(stacked, ["z", "h"], {"a": {"total": (F.sum, "a"), "n": (F.count, "z")}, "b": {"b": (F.max, "b")}})
+    assert rows(found) == sorted([("x", 1, 4.0, 2, "s"), ("y", 1, 6.0, 2, None), (None, 1, 18.0, 0, "n"), ("w", 2, None, 0, "t")], key=repr)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

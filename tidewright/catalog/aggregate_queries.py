@@ -216,18 +216,28 @@ def column_stats(t):
     return stats.withColumns({c: F.round(c, 4) for c in ("cents_std", "k_std")})
 
 
+MEASURED = {
+    "price": "CAST(round(l_extendedprice * 100) AS BIGINT)",
+    "part": "l_partkey",
+    "supplier": "l_suppkey",
+    "day": "CAST(date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS BIGINT)",
+}
+
+
 @query(
     "column_quartiles",
-    """
-    SELECT 'price' AS column_name, s.share, quantile_cont(price, s.share) AS value
-    FROM (SELECT CAST(round(l_extendedprice * 100) AS BIGINT) AS price FROM lineitem),
-         (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) s(share)
-    GROUP BY s.share
-    """.replace("quantile_cont(price, s.share)", "CASE s.share WHEN 0.25 THEN quantile_cont(price, 0.25) "
-                "WHEN 0.5 THEN quantile_cont(price, 0.5) ELSE quantile_cont(price, 0.75) END"),
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, {share}::DOUBLE AS share, CAST(quantile_cont({value}, {share}) AS DOUBLE) AS value FROM lineitem"
+        for name, value in MEASURED.items()
+        for share in (0.25, 0.5, 0.75)
+    ),
 )
 def column_quartiles(t):
-    return quartiles(t.lineitem.select(F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("price")), ["price"])
+    measured = t.lineitem.select(
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("price"), F.col("l_partkey").alias("part"),
+        F.col("l_suppkey").alias("supplier"), F.datediff("l_shipdate", F.lit("1990-01-01").cast("date")).cast("bigint").alias("day"),
+    )
+    return quartiles(measured, list(MEASURED))
 
 
 @query(

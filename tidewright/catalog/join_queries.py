@@ -10,59 +10,52 @@ from tidewright.operators.joins import (
     assign_zone,
     integrate,
     integrate_all,
+    integrate_stack,
     join_daily,
     missing_keys,
     next_event,
     orphans,
 )
-from tidewright.operators.shape import key_universe, with_run_date
+from tidewright.operators.shape import with_run_date
 from tidewright.sinks.tables import replaced_rows
 from tidewright.sinks.upsert import upsert
 from tidewright.sources import with_bbox
 
 
+KINDS = ["view", "click", "purchase", "signup", "error"]
+
+
 @query(
     "integrate_feeds",
     f"""
     WITH {READINGS},
-    daily AS (
-      SELECT user_id, CAST(ts AS DATE) AS day, event_type, sum(cents) AS total, count(*) AS n
-      FROM readings WHERE event_type IN ('view', 'click', 'error') GROUP BY ALL)
-    SELECT user_id, day,
-           CAST(max(total) FILTER (WHERE event_type = 'view') AS BIGINT) AS view_total,
-           max(n) FILTER (WHERE event_type = 'view') AS view_n,
-           CAST(max(total) FILTER (WHERE event_type = 'click') AS BIGINT) AS click_total,
-           max(n) FILTER (WHERE event_type = 'click') AS click_n,
-           CAST(max(total) FILTER (WHERE event_type = 'error') AS BIGINT) AS error_total,
-           max(n) FILTER (WHERE event_type = 'error') AS error_n
-    FROM daily GROUP BY ALL
-    """,
+    daily AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type, sum(cents) AS total, count(*) AS n FROM readings GROUP BY ALL)
+    SELECT user_id, day, """
+    + ", ".join(
+        f"CAST(max(total) FILTER (WHERE event_type = '{kind}') AS BIGINT) AS {kind}_total, "
+        f"coalesce(max(n) FILTER (WHERE event_type = '{kind}'), 0) AS {kind}_n"
+        for kind in KINDS
+    )
+    + " FROM daily GROUP BY ALL",
 )
 def integrate_feeds(t):
-    keys = ["user_id", "day"]
     rows = readings(t).select("user_id", F.to_date("ts").alias("day"), "event_type", "cents")
-
-    def feed(kind):
-        return rows.where(F.col("event_type") == kind).groupBy(*keys).agg(
-            F.sum("cents").alias(f"{kind}_total"), F.count(F.lit(1)).alias(f"{kind}_n")
-        )
-
-    feeds = [feed(kind) for kind in ("view", "click", "error")]
-    return integrate(key_universe(feeds, keys), feeds, keys)
+    figures = {kind: {f"{kind}_total": (F.sum, "cents"), f"{kind}_n": (F.count, "event_type")} for kind in KINDS}
+    return integrate_stack(rows, ["user_id", "day"], figures, "event_type")
 
 
 @query(
     "integrate_all",
     f"""
     WITH {READINGS},
-    v AS (SELECT user_id, CAST(ts AS DATE) AS day, CAST(sum(cents) AS BIGINT) AS view_total FROM readings
-          WHERE event_type = 'view' GROUP BY ALL),
-    p AS (SELECT user_id, CAST(ts AS DATE) AS day, CAST(sum(cents) AS BIGINT) AS purchase_total FROM readings
-          WHERE event_type = 'purchase' GROUP BY ALL),
-    u AS (SELECT user_id, day FROM v UNION SELECT user_id, day FROM p)
-    SELECT u.user_id, u.day, view_total, purchase_total
-    FROM u LEFT JOIN v ON v.user_id = u.user_id AND v.day = u.day LEFT JOIN p ON p.user_id = u.user_id AND p.day = u.day
-    """,
+    d AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type, CAST(sum(cents) AS BIGINT) AS total FROM readings GROUP BY ALL),
+    u AS (SELECT DISTINCT user_id, day FROM d)
+    SELECT u.user_id, u.day, """
+    + ", ".join(f"{kind}.total AS {kind}_total" for kind in KINDS)
+    + " FROM u "
+    + " ".join(
+        f"LEFT JOIN d AS {kind} ON {kind}.user_id = u.user_id AND {kind}.day = u.day AND {kind}.event_type = '{kind}'" for kind in KINDS
+    ),
 )
 def integrate_all_query(t):
     rows = readings(t).select("user_id", F.to_date("ts").alias("day"), "event_type", "cents")
@@ -70,7 +63,25 @@ def integrate_all_query(t):
     def feed(kind):
         return rows.where(F.col("event_type") == kind).groupBy("user_id", "day").agg(F.sum("cents").alias(f"{kind}_total"))
 
-    return integrate_all([feed("view"), feed("purchase")], ["user_id", "day"])
+    return integrate_all([feed(kind) for kind in KINDS], ["user_id", "day"])
+
+
+@query(
+    "integrate_known",
+    f"""
+    WITH {READINGS},
+    d AS (SELECT user_id, event_type, CAST(sum(cents) AS BIGINT) AS total FROM readings GROUP BY ALL)
+    SELECT c_custkey, """
+    + ", ".join(f"(SELECT total FROM d WHERE user_id = c_custkey AND event_type = '{kind}') AS {kind}_total" for kind in KINDS)
+    + " FROM customer",
+)
+def integrate_known(t):
+    rows = readings(t).withColumnRenamed("user_id", "c_custkey")
+
+    def feed(kind):
+        return rows.where(F.col("event_type") == kind).groupBy("c_custkey").agg(F.sum("cents").alias(f"{kind}_total"))
+
+    return integrate(t.customer, [feed(kind) for kind in KINDS], ["c_custkey"])
 
 
 @query(

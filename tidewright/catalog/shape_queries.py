@@ -280,13 +280,13 @@ def top_k_query(t):
     "key_universe",
     """
     SELECT DISTINCT user_id, CAST(date_trunc('day', ts) AS DATE) AS day FROM events
-    WHERE event_type IN ('error', 'signup', 'purchase')
+    UNION SELECT o_custkey, CAST(o_orderdate AS DATE) FROM orders
     """,
 )
 def key_universe_query(t):
-    daily = t.events.select("event_type", "user_id", F.to_date("ts").alias("day"))
-    feeds = [daily.where(F.col("event_type") == kind) for kind in ("error", "signup", "purchase")]
-    return key_universe(feeds, ["user_id", "day"])
+    events = t.events.select("user_id", F.to_date("ts").alias("day"))
+    orders = t.orders.select(F.col("o_custkey").alias("user_id"), F.to_date("o_orderdate").alias("day"))
+    return key_universe([events, orders], ["user_id", "day"])
 
 
 @query(

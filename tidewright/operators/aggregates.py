@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -181,75 +181,144 @@ def horizon_hours(ts: str, run: str) -> Column:
     return (epoch_seconds(F.max(ts)) - epoch_seconds(F.min(run))) / F.lit(3600.0)
 
 
-def values_at_ranks(df: DataFrame, col: str, ranks: list[int], bins: int = 1024) -> DataFrame:
+#: Accuracy of the sketches that bracket a rank, and the share by which a bracket is widened on both sides.
+ACCURACY = 10_000
+MARGIN = 3.0 / ACCURACY
+
+#: Rows that a bracket may hold before its values are settled; wider ones are narrowed by further sketches.
+MOST_INSIDE = 1 << 21
+
+
+@dataclass
+class _Bracket:
+    """Two neighbouring ranks of a column, and values between which both lie."""
+
+    column: str
+    low_rank: int
+    high_rank: int
+    low: object
+    high: object
+
+
+def _sketch(df: DataFrame, wanted: list[tuple[Column, list[float]]]) -> Row:
+    """One aggregate for any number of values: count, least, greatest and the values near the shares, by position."""
+    figures = []
+    for i, (value, shares) in enumerate(wanted):
+        figures += [
+            F.count(value).alias(f"n{i}"), F.min(value).alias(f"least{i}"), F.max(value).alias(f"most{i}"),
+            F.percentile_approx(value, [min(1.0, max(0.0, s)) for s in shares], ACCURACY).alias(f"q{i}"),
+        ]
+    return df.agg(*figures).first()
+
+
+def _narrowed(df: DataFrame, brackets: list[_Bracket], inside: int) -> list[_Bracket]:
+    """Brackets whose sketches see only what lies inside the former ones."""
+    while inside > MOST_INSIDE:
+        values = [F.when(F.col(b.column).between(F.lit(b.low), F.lit(b.high)), F.col(b.column)) for b in brackets]
+        counted = df.agg(
+            *[F.count_if(F.col(b.column) < F.lit(b.low)).alias(f"b{i}") for i, b in enumerate(brackets)],
+            *[F.count(v).alias(f"n{i}") for i, v in enumerate(values)],
+        ).first()
+        if max(counted[f"n{i}"] for i in range(len(brackets))) <= MOST_INSIDE:
+            break
+        place = lambda i, k: (k - counted[f"b{i}"]) / counted[f"n{i}"]
+        found = _sketch(df, [(v, [place(i, b.low_rank) - 2 * MARGIN, place(i, b.high_rank) + 2 * MARGIN]) for i, (b, v) in enumerate(zip(brackets, values))])
+        closer = [replace(b, low=found[f"q{i}"][0], high=found[f"q{i}"][1]) for i, b in enumerate(brackets)]
+        if closer == brackets:
+            break  # the bracket is a single value or a few
+        brackets, inside = closer, int(max(counted[f"n{i}"] for i in range(len(brackets))) * 5 * MARGIN)
+    return brackets
+
+
+def _settled(df: DataFrame, brackets: list[_Bracket]) -> DataFrame:
+    """(i, low, high): the exact values at both ranks of each bracket, by one pass over the table.
+
+    Rows below a bracket are only counted; inside it equal values are counted together in the tasks, so a bracket's
+    window has one row per distinct value of a sliver of the table.
+    """
+    members = []
+    for i, b in enumerate(brackets):
+        v = F.col(b.column)
+        kept = F.struct(F.lit(i).alias("i"), v.alias("v"))
+        below = F.struct(F.lit(i).alias("i"), F.when(F.lit(False), v).alias("v"))
+        members.append(F.when(v < F.lit(b.low), below).when(v <= F.lit(b.high), kept))
+    rows = df.select(F.explode(F.array_compact(F.array(*members))).alias("m"))
+    counted = rows.groupBy(F.col("m.i").alias("i"), F.col("m.v").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("i").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.withColumn("last", upto - 1).withColumn("first", F.col("last") - F.col("c") + 1)
+
+    def at(ranks: list[int]) -> Column:
+        k = F.element_at(F.lit(ranks), F.col("i") + 1)
+        return F.max(F.when(k.between(F.col("first"), F.col("last")), F.col("v")))
+
+    return ranked.groupBy("i").agg(at([b.low_rank for b in brackets]).alias("low"), at([b.high_rank for b in brackets]).alias("high"))
+
+
+def _numbers(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The columns as numbers of one type; timestamps as microseconds."""
+    times = {c for c in cols if df.schema[c].dataType.typeName().startswith("timestamp")}
+    kinds = {df.schema[c].dataType.simpleString() for c in cols if c not in times} | ({"bigint"} if times else set())
+    value = lambda c: F.unix_micros(F.col(c).cast("timestamp")) if c in times else F.col(c)
+    return df.select(*[(value(c) if len(kinds) == 1 else value(c).cast("double")).alias(c) for c in cols])
+
+
+def values_at_ranks(df: DataFrame, col: str, ranks: list[int]) -> DataFrame:
     """Exact order statistics: one row (rank, value) per 0-based rank, missing values left out.
 
-    An approximate sketch brackets each wanted rank to a sliver of the data, rows below the bracket
-    are only counted, and the rank is then settled on the distinct values inside it, bin by bin. No
-    task sorts or holds the whole column. Timestamps are returned as microseconds.
+    An approximate sketch brackets each wanted rank to a sliver of the data, and the rank is settled on the distinct
+    values inside it. No task sorts or holds the whole column. Timestamps are returned as microseconds.
     """
-    spark = df.sparkSession
-    is_time = df.schema[col].dataType.typeName().startswith("timestamp")
-    number = F.unix_micros(F.col(col).cast("timestamp")) if is_time else F.col(col)
-    data = df.select(number.alias("v")).where(F.col("v").isNotNull())
-    n = data.count()
+    data = _numbers(df, [col])
+    n = data.agg(F.count(col)).first()[0]
     if not n or max(ranks) >= n or min(ranks) < 0:
         raise ValueError(f"ranks {ranks} asked of {n} values of {col}")
+    edges = [(r / n - MARGIN, (r + 1) / n + MARGIN) for r in ranks]
+    found = _sketch(data, [(F.col(col), [share for pair in edges for share in pair])])
+    brackets = [_opened(found, 0, j, col, r, r, *edges[j]) for j, r in enumerate(ranks)]
+    settled = _settled(data, _narrowed(data, brackets, int(5 * MARGIN * n)))
+    rank = F.element_at(F.lit(ranks), F.col("i") + 1).cast("bigint")
+    return settled.select(rank.alias("rank"), F.coalesce("low", _missed(col, settled)).alias("value"))
 
-    accuracy = 10_000
-    margin = 3.0 / accuracy
-    shares = [(max(0.0, r / n - margin), min(1.0, (r + 1) / n + margin)) for r in ranks]
-    sketch = data.agg(
-        F.percentile_approx("v", [p for pair in shares for p in pair], accuracy).alias("q"),
-        F.min("v").alias("least"),
-        F.max("v").alias("most"),
-    ).first()
-    lows, highs = [], []
-    for i, (start, end) in enumerate(shares):
-        lows.append(sketch["least"] if start == 0.0 else sketch["q"][2 * i])
-        highs.append(sketch["most"] if end == 1.0 else sketch["q"][2 * i + 1])
-    counted = data.agg(*[F.count_if(F.col("v") < low).alias(f"b{i}") for i, low in enumerate(lows)]).first()
-    brackets = spark.createDataFrame(
-        [(i, r, float(lows[i]), float((highs[i] - lows[i]) / bins) or 1.0, counted[f"b{i}"]) for i, r in enumerate(ranks)],
-        "i int, rank bigint, low double, width double, below bigint",
-    )
 
-    # One small row per bracket; a value may fall into several of them.
-    member = F.array(*[F.when(F.col("v").between(F.lit(a), F.lit(b)), F.lit(i)) for i, (a, b) in enumerate(zip(lows, highs))])
-    inside = data.withColumn("i", F.explode(F.array_compact(member))).groupBy("i", "v").agg(F.count(F.lit(1)).alias("c"))
-    binned = inside.join(brackets, "i").withColumn(
-        "bin", F.least(F.floor((F.col("v") - F.col("low")) / F.col("width")), F.lit(bins - 1))
-    )
-    sizes = binned.groupBy("i", "bin").agg(F.sum("c").alias("size"))
-    # At most ``bins`` rows per rank reach this window.
-    offsets = sizes.withColumn("upto", F.sum("size").over(Window.partitionBy("i").orderBy("bin"))).select(
-        "i", "bin", (F.col("upto") - F.col("size")).alias("offset")
-    )
-    within = F.sum("c").over(Window.partitionBy("i", "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = binned.join(offsets, ["i", "bin"]).withColumn("last", F.col("below") + F.col("offset") + within - 1)
-    holds = (F.col("last") >= F.col("rank")) & (F.col("last") - F.col("c") < F.col("rank"))
-    settled = ranked.groupBy("rank").agg(F.max(F.when(holds, F.col("v"))).alias("value"))
-    missed = F.raise_error(F.lit(f"a rank of {col} lies outside its bracket")).cast(data.schema["v"].dataType)
-    return settled.select("rank", F.coalesce("value", missed).alias("value"))
+def _opened(found: Row, i: int, j: int, col: str, low_rank: int, high_rank: int, start: float, end: float) -> _Bracket:
+    """The j-th bracket of a sketched value; a share beyond either end reaches to the least or greatest value."""
+    low = found[f"least{i}"] if start <= 0 else found[f"q{i}"][2 * j]
+    high = found[f"most{i}"] if end >= 1 else found[f"q{i}"][2 * j + 1]
+    return _Bracket(col, low_rank, high_rank, low, high)
+
+
+def _missed(what: str, settled: DataFrame) -> Column:
+    return F.raise_error(F.lit(f"a rank of {what} lies outside its bracket")).cast(settled.schema["low"].dataType)
 
 
 def quartiles(df: DataFrame, cols: list[str], shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Exact quartiles of each column, interpolated linearly; one row per column and share."""
-
-    def one(col: str, n: int) -> DataFrame:
-        wanted = [(s, math.floor(s * (n - 1)), math.ceil(s * (n - 1)), s * (n - 1) % 1) for s in shares]
-        values = values_at_ranks(df, col, sorted({r for _, k0, k1, _ in wanted for r in (k0, k1)}))
-        places = df.sparkSession.createDataFrame(wanted, "share double, k0 bigint, k1 bigint, part double")
-        low = values.select(F.col("rank").alias("k0"), F.col("value").alias("low"))
-        high = values.select(F.col("rank").alias("k1"), F.col("value").alias("high"))
-        value = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
-        return (
-            places.join(low, "k0").join(high, "k1")
-            .select(F.lit(col).alias("column_name"), "share", value.cast("double").alias("value"))
-        )
+    """Exact quartiles of each column, interpolated linearly; one row per column and share.
 
-    counts = df.agg(*[F.count(c).alias(c) for c in cols]).first()
-    return reduce(DataFrame.unionByName, [one(c, counts[c]) for c in cols])
+    Two passes for all columns together: one sketch aggregate when this is called, and one over the brackets' values. A
+    column without values has no rows.
+    """
+    data = _numbers(df, cols)
+    found = _sketch(data, [(F.col(c), [x for s in shares for x in (s - 2 * MARGIN, s + 2 * MARGIN)]) for c in cols])
+    brackets, places, most = [], [], 0
+    for i, c, j, s in [(i, c, j, s) for i, c in enumerate(cols) for j, s in enumerate(shares)]:
+        n = found[f"n{i}"]
+        if not n:
+            continue
+        # Of few values the place of a share is not as near to it as the margin; they are all inside.
+        few = n * MARGIN < 1
+        place = s * (n - 1)
+        start, end = (0.0, 1.0) if few else (s - 2 * MARGIN, s + 2 * MARGIN)
+        brackets.append(_opened(found, i, j, c, math.floor(place), math.ceil(place), start, end))
+        places.append((len(places), c, s, place % 1))
+        most = max(most, int(5 * MARGIN * n))
+    schema = "i int, column_name string, share double, part double"
+    wanted = df.sparkSession.createDataFrame(places, schema)
+    if not brackets:
+        return wanted.select("column_name", "share", F.lit(None).cast("double").alias("value"))
+    settled = _settled(data, _narrowed(data, brackets, most))
+    low, high = (F.coalesce(x, _missed(", ".join(cols), settled)) for x in ("low", "high"))
+    value = low + (high - low) * F.col("part")
+    return settled.join(wanted, "i").select("column_name", "share", value.cast("double").alias("value"))
 
 
 def count_if_by(df: DataFrame, by: list[str], condition: Column, out: str = "n_match") -> DataFrame:

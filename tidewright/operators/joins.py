@@ -7,9 +7,10 @@ adaptive execution can split when a key is hot.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
@@ -19,17 +20,55 @@ from tidewright.operators.timeline import SLICE, slice_of
 HOUR = 3_600
 
 
+FEED = "_feed"
+
+
+def stack_feeds(feeds: dict[str, DataFrame]) -> DataFrame:
+    """The rows of all feeds under one another, with the name of their feed."""
+    tagged = [rows.withColumn(FEED, F.lit(name)) for name, rows in feeds.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+
+
+def integrate_stack(
+    stacked: DataFrame, keys: list[str], figures: dict[str, dict[str, tuple[Callable, str]]], feed: str = FEED
+) -> DataFrame:
+    """Every key that occurs in any feed, with the figures of each: ``{feed: {output: (aggregate, column)}}``.
+
+    The rows of all feeds are stacked, so one aggregate by key makes universe and integration in one shuffle, whatever
+    the number of feeds; rows are combined in the tasks first. An aggregate sees the rows of its own feed alone.
+    """
+    own = lambda name, c: F.when(F.col(feed) == name, F.col(c))
+    aggregates = [f(own(name, c)).alias(out) for name, wanted in figures.items() for out, (f, c) in wanted.items()]
+    return stacked.where(F.col(feed).isin(*figures)).groupBy(*keys).agg(*aggregates)
+
+
 def integrate(universe: DataFrame, feeds: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Every key of the universe with the columns of each feed; a feed holds at most one row per key."""
-    return reduce(lambda left, right: left.join(right, keys, "left"), feeds, universe)
+    """Every key of the universe with the columns of each feed; a feed holds at most one row per key.
+
+    Universe and feeds are stacked and met by one aggregate, without joins. Keys with a NULL meet no feed.
+    """
+    known = universe.select(*keys).distinct().withColumn("_known", F.lit(True))
+    met = _stacked([known, *[f.where(_whole(keys)) for f in feeds]], keys, apart=False)
+    return met.where("_known").select(*keys, *[c for f in feeds for c in f.columns if c not in keys])
 
 
 def integrate_all(feeds: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Every key that occurs in any feed, with the columns of each: the universe and its joins in one step.
+    """Every key that occurs in any feed, with the columns of each; a feed holds at most one row per key.
 
-    Full outer joins read each feed once; a feed holds at most one row per key.
+    One aggregate over the stacked feeds, which reads each once. A row with a NULL in its key stays alone.
     """
-    return reduce(lambda left, right: left.join(right, keys, "full_outer"), feeds)
+    return _stacked(feeds, keys, apart=True).select(*keys, *[c for f in feeds for c in f.columns if c not in keys])
+
+
+def _whole(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def _stacked(frames: list[DataFrame], keys: list[str], apart: bool) -> DataFrame:
+    tagged = [f.withColumn(FEED, F.when(_whole(keys), F.lit(-1)).otherwise(F.lit(i if apart else -1))) for i, f in enumerate(frames)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    rest = [c for c in stacked.columns if c not in keys and c != FEED]
+    return stacked.groupBy(*keys, FEED).agg(*[F.first(c, ignorenulls=True).alias(c) for c in rest])
 
 
 def join_daily(hourly: DataFrame, daily: DataFrame, key: str, ts: str, day: str) -> DataFrame:
@@ -68,7 +107,7 @@ def next_event(
     key is split by adaptive execution. Instants and events are laid on one timeline, sorted backwards, and
     the last event seen so far is taken, without any row blow-up. At equal times the instant sorts
     first, so it never meets that event. The timeline is cut into slices; an event that lies beyond
-    a slice enters it as one extra row. Events that tie on time are resolved by the smallest ``cols``.
+    a slice comes from a summary of one row per slice. Events that tie on time are resolved by the smallest ``cols``.
 
     ``slice_seconds=None`` is for keys whose groups are small by construction, such as one forecast
     run of one point without duplicates: readings and events are then read once and sorted once.
@@ -95,20 +134,23 @@ def next_event(
         seen = timeline.withColumn("_next", F.when(F.col("_at").isNotNull(), last_seen))
         return with_answer(seen.where(F.col("_is_event") == 0))
 
-    events = known_events.select(*by, slice_of(right_ts, slice_seconds).alias(SLICE), event_row.alias("_event"))
-    instants = (
-        left.where(key_known & F.col(left_ts).isNotNull())
-        .select(*by, F.col(left_ts).alias("_at"), slice_of(left_ts, slice_seconds).alias(SLICE))
-        .distinct()
-    )
-    carried = _first_event_after_slice(instants.select(*by, SLICE).distinct(), events, by)
-    timeline = instants.withColumn("_is_event", F.lit(0)).unionByName(
-        events.unionByName(carried).withColumns({"_at": F.col("_event.at"), "_is_event": F.lit(1)}),
-        allowMissingColumns=True,
-    )
-    seen = timeline.withColumn("_next", F.last("_event", ignorenulls=True).over(_backwards([*by, SLICE])))
-    settled = seen.where((F.col("_is_event") == 0) & F.col("_next").isNotNull()).select(
-        *by, F.col("_at").alias(left_ts), "_next"
+    # Distinct instants and events on one tagged line. It is dealt by key and slice once; the heads of slices and the
+    # answers inside them both come from there.
+    instants = left.where(key_known & F.col(left_ts).isNotNull()).select(*by, F.col(left_ts).alias("_at")).distinct()
+    marks = known_events.select(*by, F.col(right_ts).alias("_at"), F.lit(1).alias("_is_event"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(cols)])
+    line = instants.withColumn("_is_event", F.lit(0)).unionByName(marks, allowMissingColumns=True)
+    dealt = line.withColumn(SLICE, slice_of("_at", slice_seconds)).repartition(*by, SLICE)
+    mark = F.when(F.col("_is_event") == 1, F.struct(F.col("_at").alias("at"), *[F.col(f"_{i}").alias(c) for i, c in enumerate(cols)]))
+
+    # Heads: one row per key and slice with its first event; what comes later is carried backwards over them.
+    heads = dealt.groupBy(*by, SLICE).agg(F.min(mark).alias("_head"))
+    later = Window.partitionBy(*by).orderBy(F.col(SLICE).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = heads.withColumn("_carry", F.last("_head", ignorenulls=True).over(later)).drop("_head")
+
+    inside = dealt.withColumn("_event", mark)
+    inside = inside.withColumn("_next", F.last("_event", ignorenulls=True).over(_backwards([*by, SLICE])))
+    settled = inside.where("_is_event = 0").join(carried, [*by, SLICE], "left").select(
+        *by, F.col("_at").alias(left_ts), F.coalesce("_next", "_carry").alias("_next")
     )
     return with_answer(left.join(settled, [*by, left_ts], "left"))
 
@@ -119,20 +161,6 @@ def _backwards(group: list[str]) -> WindowSpec:
     return Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _first_event_after_slice(wanted: DataFrame, events: DataFrame, by: list[str]) -> DataFrame:
-    """For each wanted slice, the earliest event of the key in any later slice."""
-    wanted = wanted.withColumn("_wanted", F.lit(1))
-    heads = events.groupBy(*by, SLICE).agg(F.min("_event").alias("_event")).withColumn("_wanted", F.lit(0))
-    backwards = (
-        Window.partitionBy(*by)
-        .orderBy(F.col(SLICE).desc(), F.col("_wanted").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    summary = wanted.unionByName(heads, allowMissingColumns=True)
-    carried = summary.withColumn("_event", F.last("_event", ignorenulls=True).over(backwards))
-    return carried.where((F.col("_wanted") == 1) & F.col("_event").isNotNull()).drop("_wanted")
-
-
 def assign_zone(
     points: DataFrame,
     zones: DataFrame,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.risk import alert_text, knots, risk_score, safety_level, speed
 from tidewright.functions.scalars import as_literal, minutes_since
 from tidewright.operators.aggregates import agg_grid, agg_tide_hour, agg_zone_hour
-from tidewright.operators.joins import integrate_all, join_daily
+from tidewright.operators.joins import join_daily
 from tidewright.operators.shape import in_horizon, latest_run, since
 from tidewright.operators.windows import best_run, forward_sum, latest_per_key, pick_current
 from tidewright.schemas import CURRENT_COLUMNS, GRID_VALUES, ZONE_HOUR, ZONE_METRICS
@@ -66,7 +66,8 @@ def gold_zone_hour(
     grid_rows = in_horizon(_recent(grid, as_of, grid_lookback_days), "timestamp_forecast", first_day, hours + 24)
     grid_day = _grid_per_day(grid_rows.withColumn("_day", F.to_date("timestamp_forecast")), ties)
 
-    joined = integrate_all([weather_zone, tide_zone], ZONE_HOUR)
+    # Both sides are grouped by the same keys already, so they meet where they are.
+    joined = weather_zone.join(tide_zone, ZONE_HOUR, "full_outer")
     gold = join_daily(joined, grid_day, "zona_id", "timestamp_forecast", "_day")
     gold = gold.withColumn("updated_at", as_literal(as_of, gold.schema["timestamp_forecast"].dataType))
     return forward_sum(gold, ["zona_id"], "timestamp_forecast", "precipitation_mm", 2, 1, "precipitation_3h_mm")
