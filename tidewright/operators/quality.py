@@ -20,6 +20,7 @@ from tidewright.operators.joins import missing_keys
 from tidewright.operators.shape import since
 from tidewright.operators.windows import top_n
 from tidewright.schemas import GRID_NATURAL_KEY, GRID_REQUIRED, VALIDATION_LOG
+from tidewright.session import settle
 
 
 def schema_fingerprint(schema: T.StructType | dict) -> str:
@@ -51,39 +52,83 @@ def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
 
 
 def file_schemas(spark: SparkSession, files: DataFrame, path: str = "path") -> DataFrame:
-    """Schema JSON and fingerprint of each parquet file, from the footers alone, read in the tasks."""
+    """Schema JSON, fingerprint and number of row groups of each parquet file, from the footers alone, read in the tasks."""
 
     def footers(batches):
         import io
 
         import pandas as pd
         import pyarrow.parquet as pq
-        from pyarrow import fs
         from pyspark.sql.pandas.types import from_arrow_schema
 
         for batch in batches:
             rows = []
             for location in batch["path"]:
                 # A store that cannot be reached fails the task, so that Spark tries again.
-                filesystem, inner = fs.FileSystem.from_uri(location)
-                with filesystem.open_input_file(inner) as handle:
+                with _opened(location) as handle:
                     size = handle.size()
                     end = handle.read_at(min(8, size), max(0, size - 8))
                     length = int.from_bytes(end[:4], "little") if len(end) == 8 else 0
                     footer = handle.read_at(length, size - 8 - length) if end[4:] == b"PAR1" and length <= size - 8 else b""
                 try:
-                    arrow = pq.read_schema(io.BytesIO(b"PAR1" + footer + end))
-                    schema = from_arrow_schema(arrow).jsonValue()
-                    rows.append((location, json.dumps(schema, sort_keys=True), None))
+                    found = pq.read_metadata(io.BytesIO(b"PAR1" + footer + end))
+                    schema = from_arrow_schema(found.schema.to_arrow_schema()).jsonValue()
+                    rows.append((location, json.dumps(schema, sort_keys=True), found.num_row_groups, None))
                 except Exception as problem:  # a malformed footer is a finding, not a failure
-                    rows.append((location, None, str(problem)))
-            yield pd.DataFrame(rows, columns=["path", "schema_json", "problem"])
+                    rows.append((location, None, 0, str(problem)))
+            yield pd.DataFrame(rows, columns=["path", "schema_json", "row_groups", "problem"])
 
     located = files.select(F.col(path).alias("path"))
-    found = located.mapInPandas(footers, "path string, schema_json string, problem string")
+    found = located.mapInPandas(footers, "path string, schema_json string, row_groups int, problem string")
     return found.withColumn("schema_fp", F.sha2("schema_json", 256))
 
 
+def _opened(location: str):
+    from pyarrow import fs
+
+    filesystem, inner = fs.FileSystem.from_uri(location)
+    return filesystem.open_input_file(inner)
+
+
+#: Row groups of landed files that a task reads.
+GROUPS_PER_TASK = 32
+
+
+def read_listed(listed: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of the listed files (settled columns path and row_groups) with their path, and the problem of a row group
+    that cannot be decoded.
+
+    The list stays distributed: its row groups are dealt over the tasks, which read these and nothing else, so neither
+    the number of files nor what else lies in their folders matters.
+    """
+    units = listed.select("path", F.explode(F.sequence(F.lit(0), F.col("row_groups") - 1)).alias("row_group")).where("row_group >= 0")
+    tasks = max(1, -(-(listed.agg(F.sum("row_groups")).first()[0] or 0) // GROUPS_PER_TASK))
+    full = T.StructType([T.StructField("path", T.StringType()), T.StructField("_problem", T.StringType()), *schema.fields])
+
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        wanted = to_arrow_schema(schema)
+        names = ["path", "_problem", *wanted.names]
+
+        def columns(location, problem, n, values):
+            return pa.RecordBatch.from_arrays([pa.array([location] * n, pa.string()), pa.array([problem] * n, pa.string()), *values], names=names)
+
+        for batch in batches:
+            for location, group in zip(*(c.to_pylist() for c in batch.columns)):
+                with _opened(location) as handle:
+                    try:
+                        for part in pq.ParquetFile(handle).iter_batches(batch_size=4096, row_groups=[group], use_threads=False):
+                            yield columns(location, None, part.num_rows, [part.column(f.name).cast(f.type) for f in wanted])
+                    except (pa.ArrowException, OSError) as problem:
+                        handle.read_at(1, 0)  # raises where the store is at fault, so that the task is tried again
+                        yield columns(location, str(problem), 1, [pa.nulls(1, f.type) for f in wanted])
+
+    return units.repartition(tasks).mapInArrow(read, full)
+
+
 @dataclass(frozen=True)
 class PointSuite:
     """Rules for feeds with one row per point and an array of readings."""
@@ -352,44 +397,36 @@ def validate_files(
 ) -> DataFrame:
     """One log row per file: contract check on the footers, then content rules for all matching files in one job.
 
-    ``files`` is a work queue (see ``pending``) or one micro-batch, so its paths are few; the rows
-    behind them are never brought to the driver.
+    ``files`` is a work queue (see ``pending``) of any length or one micro-batch. The footers' verdicts are settled as a
+    frame; no path comes to the driver.
     """
-    queue = files.select("path").distinct()
-    checked = [tuple(r) for r in file_schemas(spark, queue).select("path", "schema_fp", "problem").collect()]
     expected = contract.expected_fp
-    agreed = [p for p, fp, _ in checked if fp == expected]
-    refused = [
-        (p, fp or expected, f"UNREADABLE {why}" if why else f"SCHEMA_MISMATCH fp={fp} expected={expected}")
-        for p, fp, why in checked
-        if fp != expected
-    ]
-    results = []
-    if refused:
-        rows = spark.createDataFrame(refused, "path string, fp string, violations string")
-        bad = rows.withColumns(
-            {"status": F.lit("FAIL"), **{c: F.lit(None).cast("int") for c in ("puntos_cnt", "bad_puntos", "dup_keys")}}
-        )
-        results.append(as_log(bad, source, run_at, F.col("fp")))
-    if agreed:
-        rows = spark.read.schema(contract.schema).parquet(*agreed)
-        rows = rows.withColumn("path", F.col("_metadata.file_path"))
-        judge = validate_points if isinstance(contract.suite, PointSuite) else validate_grid
-        verdicts = judge(rows, contract.suite, ["path"])
-        listed = spark.createDataFrame([(p,) for p in agreed], "path string")
-        same_file = F.regexp_replace("path", "^file:/+", "/")
-        verdicts = verdicts.withColumn("_file", same_file).drop("path")
-        full = listed.withColumn("_file", same_file).join(verdicts, "_file", "left").drop("_file")
-        full = full.withColumns(
-            {
-                "violations": F.when(F.col("status").isNull(), F.lit("EMPTY_FILE")).otherwise(F.col("violations")),
-                "status": F.coalesce("status", F.lit("FAIL")),
-            }
-        )
-        results.append(as_log(full, source, run_at, expected))
-    if not results:
-        return spark.createDataFrame([], VALIDATION_LOG)
-    return reduce(DataFrame.unionByName, results)
+    footers = settle(file_schemas(spark, files.select("path").distinct()), "footers")
+    agreed = footers.where(F.col("schema_fp") == expected)
+    reason = F.when(
+        F.col("schema_fp").isNotNull(), F.concat(F.lit("SCHEMA_MISMATCH fp="), "schema_fp", F.lit(f" expected={expected}"))
+    ).otherwise(F.concat(F.lit("UNREADABLE "), F.coalesce("problem", F.lit(""))))
+    counts = {c: F.lit(None).cast("int") for c in ("puntos_cnt", "bad_puntos", "dup_keys")}
+    bad = footers.where(~F.col("schema_fp").eqNullSafe(expected)).select(
+        "path", F.coalesce("schema_fp", F.lit(expected)).alias("fp"), reason.alias("violations")
+    )
+    refused = as_log(bad.withColumns({"status": F.lit("FAIL"), **counts}), source, run_at, F.col("fp"))
+
+    rows = read_listed(agreed, contract.schema)
+    judge = validate_points if isinstance(contract.suite, PointSuite) else validate_grid
+    verdicts = judge(rows.where(F.col("_problem").isNull()), contract.suite, ["path"])
+    broken = rows.where(F.col("_problem").isNotNull()).groupBy("path").agg(F.min("_problem").alias("_problem"))
+    full = agreed.select("path").join(verdicts, "path", "left").join(broken, "path", "left")
+    known = F.col("_problem").isNull()
+    full = full.withColumns(
+        {
+            "violations": F.when(~known, F.concat(F.lit("UNREADABLE "), "_problem"))
+            .when(F.col("status").isNull(), F.lit("EMPTY_FILE")).otherwise(F.col("violations")),
+            "status": F.when(known, F.coalesce("status", F.lit("FAIL"))).otherwise(F.lit("FAIL")),
+            **{c: F.when(known, F.col(c)) for c in counts},
+        }
+    )
+    return refused.unionByName(as_log(full, source, run_at, expected))
 
 
 def validate_pending(
