@@ -3,6 +3,7 @@
 from tidewright.catalog import (
     aggregate_queries,
     bronze_queries,
+    disk_queries,
     join_queries,
     model_queries,
     plan_queries,
@@ -17,6 +18,7 @@ __all__ = [
     "QUERIES",
     "aggregate_queries",
     "bronze_queries",
+    "disk_queries",
     "join_queries",
     "model_queries",
     "plan_queries",

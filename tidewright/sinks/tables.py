@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.scalars import as_literal
+from tidewright.session import settle
 
 
 def replaced_rows(old: DataFrame, new: DataFrame, date_col: str, start: date) -> DataFrame:
@@ -21,25 +22,25 @@ def replaced_rows(old: DataFrame, new: DataFrame, date_col: str, start: date) ->
 def replace_range(spark: SparkSession, path: str, new: DataFrame, date_col: str, start: date) -> None:
     """Idempotent reload of a table partitioned by date: drop dates from ``start`` on, then add the new rows.
 
-    Dates that receive rows are swapped by dynamic partition overwrite; dates in the range that
-    receive none are emptied afterwards, which an overwrite alone would leave behind.
+    The new rows are computed once and settled. Dates that receive none are emptied by Spark's writer, which leaves a
+    file without rows in their folder; then the others are swapped by dynamic partition overwrite in one commit. A reader
+    in between sees the old rows of dates still to be swapped.
     """
     first = as_literal(start).cast("date")
-    rows = new.where(F.col(date_col) >= first)
-    filled = {r[0] for r in rows.select(date_col).distinct().collect()}
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col)
+    rows = settle(new.where(F.col(date_col) >= first), "replacement")
     try:
-        stale = spark.read.parquet(path).where(F.col(date_col) >= first).select(date_col).distinct().collect()
+        held = spark.read.parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        stale = []
-    writer.parquet(path)
-    jvm = spark.sparkContext._jvm
-    for (day,) in stale:
-        if day not in filled:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{date_col}={day}")
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        held = None
+    if held is not None:
+        # Dates, not rows: as few as the days of the range.
+        stale = held.where(F.col(date_col) >= first).select(date_col).distinct().join(rows.select(date_col).distinct(), date_col, "left_anti")
+        none = spark.createDataFrame([], held.drop(date_col).schema)
+        for (day,) in stale.collect():
+            overwrite(none, f"{path}/{date_col}={day}")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path)
 
 
 def overwrite(df: DataFrame, path: str, partition: str | None = None) -> None:
