@@ -86,14 +86,17 @@ def test_awkward(spark):
 def test_anchors_do_not_depend_on_parts():
     random.seed(1)
     raws = ["".join(random.choices("abc", k=n)).encode() for n in (10, 400, 33, 32)]
-    want = list(anchors(raws, 32, 8))
+
+    def of_strings(most):
+        rows = list(anchors(raws, 32, 8, most))
+        return {(t, i): (at, key) for t, at, key, first, last in rows for i in range(first, last + 1)}
+
+    want = of_strings(1 << 20)
+    # Every string has one anchor, which lies in it.
+    assert set(want) == {(t, i) for t, raw in enumerate(raws) for i in range(len(raw) - 31)}
+    assert all(i <= at <= i + 24 for (_, i), (at, _) in want.items())
     for most in (1, 7, 100):
-        assert list(dict.fromkeys(anchors(raws, 32, 8, most))) == want
-    # Every string has an anchor inside.
-    places = {t: {p for u, p, _ in want if u == t} for t in range(4)}
-    for t, raw in enumerate(raws):
-        for i in range(len(raw) - 31):
-            assert any(i <= p <= i + 24 for p in places[t])
+        assert of_strings(most) == want
 
 
 def test_suffix_array_and_prefixes():
@@ -106,10 +109,14 @@ def test_suffix_array_and_prefixes():
         assert sa.tolist() == sorted(range(len(data)), key=lambda i: data[i:])
         cut = [(data + bytes(200))[i : i + 24] for i in sa]
         lengths = np.full(3, size)
-        lcp = common_prefixes(block, sa, np.cumsum(lengths) - lengths, lengths, depth)
-        for k in range(1, len(data)):
-            a, b = cut[k - 1], cut[k]
-            assert lcp[k] == next((i for i in range(24) if a[i] != b[i]), 24)
+        for short in (0, 30):  # all positions, and those before the last ones of each text
+            wanted = np.tile(np.arange(size) < size - short, 3)
+            order = sa[wanted[sa]]
+            some = [(data + bytes(200))[i : i + 24] for i in order]
+            lcp = common_prefixes(block, order, wanted, np.cumsum(lengths) - lengths, lengths - short, depth)
+            for k in range(1, len(order)):
+                a, b = some[k - 1], some[k]
+                assert lcp[k] == next((i for i in range(24) if a[i] != b[i]), 24)
         other = Block(data[::-1], depth)
         at = np.arange(0, len(data) - depth, 7)
         place = search(block, sa, other, at, depth)

@@ -3,7 +3,7 @@
 Suffix arrays decide what is repeated. A corpus has far too many suffixes to meet each other, so the stretches of text
 that can share a passage are brought together first. Of the ``length - gram + 1`` grams (runs of ``gram`` bytes) of a
 string the one of the least hash, leftmost of equals, is its anchor: equal strings have equal anchors at the same place.
-An anchor's stretch is all that strings with that anchor can cover. Equal stretches are one stretch with a
+An anchor's stretch is what the strings with that anchor cover. Equal stretches are one stretch with a
 multiplicity. What has a unique anchor is unique; where all stretches of an anchor are equal, all of it is repeated; the
 others go to shards by their anchor.
 
@@ -41,10 +41,10 @@ from .suffix_arrays import Block, common_prefixes, equal, search, suffix_array
 LENGTH, GRAM = 400, 64
 
 #: Different stretches of an anchor that one task may hold.
-MOST = 1024
+MOST = 4096
 
 #: Bytes of stretches of a shard, and of a piece of it that has a suffix array of its own.
-SHARD_BYTES, PIECE_BYTES = 4 << 20, 1 << 20
+SHARD_BYTES, PIECE_BYTES = 4 << 20, (1 << 20) - (1 << 12)
 
 #: Documents that are cut at a time, and bytes that are hashed side by side.
 BATCH, HASHED = 64, 1 << 20
@@ -65,9 +65,10 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     return h
 
 
-def anchors(raws: list[bytes], length: int, gram: int, most: int = HASHED) -> Iterator[tuple[int, int, int]]:
-    """(text, position in it, hash) of the anchors of all strings of these texts, in ascending order. A text is worked
-    in parts of ``most`` bytes that overlap by a string; an anchor of two parts may come twice in a row."""
+def anchors(raws: list[bytes], length: int, gram: int, most: int = HASHED) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text, anchor, hash, first, last) of the anchors of all strings of these texts, in ascending order: the strings
+    with that anchor begin from ``first`` to ``last``. A text is worked in parts of ``most`` strings; the strings of an
+    anchor may come in two rows where parts meet."""
     held, size = [], 0
     for t, raw in enumerate(raws):
         for start in range(0, len(raw) - length + 1, most):
@@ -80,7 +81,7 @@ def anchors(raws: list[bytes], length: int, gram: int, most: int = HASHED) -> It
         yield from _anchors(held, length, gram)
 
 
-def _anchors(parts: list[tuple[int, int, bytes]], length: int, gram: int) -> Iterator[tuple[int, int, int]]:
+def _anchors(parts: list[tuple[int, int, bytes]], length: int, gram: int) -> Iterator[tuple[int, int, int, int, int]]:
     texts, offsets, raws = zip(*parts)
     sizes = np.fromiter(map(len, raws), np.int64, len(raws))
     ends = np.cumsum(sizes)
@@ -96,12 +97,15 @@ def _anchors(parts: list[tuple[int, int, bytes]], length: int, gram: int) -> Ite
     inside = np.zeros(len(low), bool)
     for start, end in zip((ends - sizes).tolist(), (ends - length + 1).tolist()):
         inside[start : max(start, end)] = True
-    at = (low[inside] & _PLACE).astype(np.int64)
-    # Anchors of later strings don't lie before those of earlier ones.
-    at = at[np.diff(at, prepend=-1) != 0]
+    strings = np.flatnonzero(inside)
+    at = (low[strings] & _PLACE).astype(np.int64)
+    # Strings with the same anchor follow one another.
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    last = np.append(first[1:], len(at)) - 1
+    at, begin, end = at[first], strings[first], strings[last]
     owner = np.searchsorted(ends, at, "right")
-    place = at - (ends - sizes)[owner] + np.array(offsets)[owner]
-    return zip(np.array(texts)[owner].tolist(), place.tolist(), h[at].view(np.int64).tolist())
+    shift = np.array(offsets, np.int64)[owner] - (ends - sizes)[owner]
+    return zip(np.array(texts)[owner].tolist(), (at + shift).tolist(), h[at].view(np.int64).tolist(), (begin + shift).tolist(), (end + shift).tolist())
 
 
 def _text_key(raw: bytes) -> tuple[int, int]:
@@ -109,12 +113,6 @@ def _text_key(raw: bytes) -> tuple[int, int]:
     return (both >> 64) - (1 << 63), (both & ((1 << 64) - 1)) - (1 << 63)
 
 
-def _stretch(raw: bytes, at: int, length: int, gram: int) -> tuple[int, bytes]:
-    """(bytes before the anchor, the stretch): all bytes of strings of ``length`` that hold the anchor."""
-    left = min(at, length - gram)
-    return left, raw[at - left : at + length]
-
-
 def _stretches(docs: DataFrame, text: str, length: int, gram: int) -> DataFrame:
     """(key, kind, t1, t2, at, left, n): the different stretches of each text; equal ones of a text are one row."""
     names = ["key", "kind", "t1", "t2", "at", "left", "n"]
@@ -126,13 +124,13 @@ def _stretches(docs: DataFrame, text: str, length: int, gram: int) -> DataFrame:
             if not raws:
                 continue
             found: dict[tuple[int, int, int], list] = {}
-            for t, at, key in anchors(raws, length, gram):
-                left, part = _stretch(raws[t], at, length, gram)
+            for t, at, key, first, last in anchors(raws, length, gram):
+                left, part = at - first, raws[t][first : last + length]
                 kind = xxhash.xxh3_64_intdigest(part, left) - (1 << 63)
                 row = found.get((t, key, kind))
                 if row is None:
                     found[t, key, kind] = [[at], left, len(part)]
-                elif row[0][-1] != at:
+                else:
                     row[0].append(at)
             texts = [_text_key(x) for x in raws]
             rows = [(key, kind, *texts[t], *row) for (t, key, kind), row in found.items()]
@@ -163,17 +161,17 @@ def _with_texts(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _fetched(docs: DataFrame, text: str, wanted: DataFrame, length: int, gram: int) -> DataFrame:
-    """Stretches (g, c, m, low, core_low, core_high, part) for wanted (key, kind, m, t1, t2, first), one row each.
-    Places are relative to the anchor."""
-    lists = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("key", "kind", "m", "first")).alias("w"))
+    """Stretches (g, c, m, low, core_low, core_high, part) for wanted (key, kind, m, t1, t2, first, left, n), one row
+    each. Places are relative to the anchor."""
+    lists = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("key", "kind", "m", "first", "left", "n")).alias("w"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, BATCH):
             rows = []
             for raw, wants in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for w in wants:
-                    left, part = _stretch(raw, w["first"], length, gram)
-                    rows.append((w["key"], w["kind"], w["m"], -left, 0, gram, part))
+                    begin = w["first"] - w["left"]
+                    rows.append((w["key"], w["kind"], w["m"], -w["left"], 0, gram, raw[begin : begin + w["n"]]))
             if rows:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _PART_TYPES)], _PART_NAMES)
 
@@ -227,14 +225,13 @@ class Piece:
         group = rows["group"].to_numpy(np.int64)
         self.slot = group[owner] * (4 * length) + within + rows["low"].to_numpy(np.int64)[owner] + 2 * length
         self.repeated = self.whole & (rows["m"].to_numpy(np.int64) > 1)[owner]
-        self.sa = suffix_array(self.block)
-        prefixes = common_prefixes(self.block, self.sa, self.starts, sizes, length)
+        sa = suffix_array(self.block)
+        # The order of the strings alone; neighbours with a whole string in common are a run of equal ones.
+        self.sa = at = sa[self.whole[sa]]
+        prefixes = common_prefixes(self.block, at, self.whole, self.starts, np.maximum(sizes - length + 1, 0), length)
         self.run = np.cumsum(prefixes < length)
         self.sizes = sizes
-        # Strings of one run (equal ones) and one slot.
-        self.place = np.flatnonzero(self.whole[self.sa])
-        at = self.sa[self.place]
-        key = np.stack([self.run[self.place], self.slot[at]])
+        key = np.stack([self.run, self.slot[at]])
         order = np.lexsort(key[::-1])
         self.keys, self.at = key[:, order], at[order]
         new = np.ones(len(order), bool)
@@ -323,7 +320,10 @@ def _solve(parts: DataFrame, length: int, most: int, piece_bytes: int) -> DataFr
     halves = settle(_halved(parts.join(hot, "g", "left_semi").select(*_PART_NAMES), length), "halves")
     whole = F.min(F.struct("low", "core_low", "core_high", "part")).alias("s")
     next_ = settle(halves.groupBy("g", "c").agg(F.sum("m").alias("m"), whole).select("g", "c", "m", "s.*"), "halved")
-    below = _solve(next_.select(*_PART_NAMES), length, most, piece_bytes)
+    # A half that nothing else shares is done with.
+    shared = next_.groupBy("g").agg(F.sum("m").alias("m")).where("m > 1").select("g")
+    next_ = settle(next_.join(shared, "g", "left_semi").select(*_PART_NAMES), "shared")
+    below = _solve(next_, length, most, piece_bytes)
     up = below.join(halves.select("old_g", "old_c", "g", "c"), ["g", "c"])
     return found.unionByName(up.select(F.col("old_g").alias("g"), F.col("old_c").alias("c"), "begins", "ends"))
 
@@ -335,10 +335,11 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     table = settle(_stretches(docs, text, length, gram), "stretches")
     # A key's stretches are all equal where the least and the greatest kind are.
     keys = table.groupBy("key").agg(F.sum(F.size("at")).alias("total"), F.min("kind").alias("a"), F.max("kind").alias("b"))
-    keys = keys.where("total > 1").select("key", (F.col("a") != F.col("b")).alias("mixed"))
+    # Settled, so that the join below has plain shuffles on both sides and a hot key can be split.
+    keys = settle(keys.where("total > 1").select("key", (F.col("a") != F.col("b")).alias("mixed")), "keys")
     hits = settle(table.join(keys, "key"), "anchored")
     mixed = hits.where("mixed").groupBy("key", "kind").agg(
-        F.sum(F.size("at")).alias("m"), F.min(F.struct("t1", "t2", F.get("at", F.lit(0)).alias("first"))).alias("r")
+        F.sum(F.size("at")).alias("m"), F.min(F.struct("t1", "t2", F.get("at", F.lit(0)).alias("first"), "left", "n")).alias("r")
     )
     parts = settle(_fetched(docs, text, mixed.select("key", "kind", "m", "r.*"), length, gram), "parts")
     found = settle(_solve(parts, length, most, piece_bytes), "repeated")
