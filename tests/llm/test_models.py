@@ -95,22 +95,81 @@ def test_score_keeps_columns(spark):
     assert scored.columns == [*docs.columns, "score"] and scored.count() == docs.count()
 
 
-def test_spread_table_gives_the_same_scores(spark):
-    """A table of n-grams beyond the bound stays in the tasks; order and scores don't change."""
-    docs, labels = load(spark, "documents").select("doc_id", "text"), load(spark, "labels")
-    docs = docs.unionByName(awkward(spark, extra=False))
-    models = [fit_toxicity(docs, labels, most_grams=n) for n in (1 << 20, 1)]
-    assert [type(m).__name__ for m in models] == ["ToxicityModel", "WideModel"]
-    one, two = (sorted(score_toxicity(docs, m).collect(), key=lambda r: (repr(r.doc_id), repr(r.text))) for m in models)
-    assert [(r.doc_id, r.text) for r in one] == [(r.doc_id, r.text) for r in two]
-    assert np.allclose([r.score for r in one], [r.score for r in two], rtol=0, atol=1e-9)
-
-
-def test_spread_table_keeps_columns_and_empty_tables(spark):
+def test_tables_give_the_model_of_all_counts(spark):
+    """The tables built in groups are those of one model over all counts, for the whole and for both halves."""
+    from tidewright.llm.common import settle
+    from tidewright.llm.kneser_tables import COUNTS, opened_model, write_tables
+    from tidewright.llm.labelled import training_labels, with_labels
+    from tidewright.llm.toxicity import gram_counts, word_counts
+
+    docs, labels = load(spark, "documents"), load(spark, "labels")
+    grams = settle(gram_counts(word_counts(with_labels(docs, training_labels(labels, "toxic", 5, 0))), 6), "grams")
+    folder, rows = write_tables(grams, 6, 4), grams.toPandas()
+    keys, counts = rows["gram"].to_numpy(np.int64), rows[list(COUNTS)].to_numpy(np.int64)
+    for k, part in enumerate((counts[:, :2], counts[:, :2] - counts[:, 2:], counts[:, 2:])):
+        seen = part.sum(axis=1) > 0
+        whole, spread = KneserNey(keys[seen], part[seen], 6, 4), opened_model(folder, k, 4)
+        assert (whole.known == spread.known).all() and np.allclose(whole.ratio, spread.ratio, rtol=0, atol=1e-12)
+        words = [b"stupid", b"zzqx", b"the", "\u00e9t\u00e9".encode(), b"x" * 64]
+        assert np.allclose(whole.words(words), spread.words(words), rtol=0, atol=1e-12)
+
+
+def brute_likelihood(counts, word, order, shared):
+    """Interpolated Kneser-Ney by dictionaries: (ordinary, toxic, shared backoff) log-likelihoods of a word's bytes.
+
+    ``counts`` has the counts of whole words in both classes."""
+    tables = [{} for _ in range(order + 1)]
+    for w, pair in counts.items():
+        padded = b" " * (order - 1) + w + b" "
+        for i in range(len(w) + 1):
+            gram = padded[i : i + order]
+            old = tables[order].get(gram, (0, 0))
+            tables[order][gram] = (old[0] + pair[0], old[1] + pair[1])
+    for n in range(order, 1, -1):
+        for gram, value in tables[n].items():
+            start = gram[:2] == b"  "
+            add = value if start else tuple(int(v > 0) for v in value)
+            old = tables[n - 1].get(gram[1:], (0, 0))
+            tables[n - 1][gram[1:]] = (old[0] + add[0], old[1] + add[1])
+
+    def chance(c, context, byte):
+        p = backoff = 1 / 256
+        for n in range(1, order + 1):
+            ctx = context[len(context) - n + 1 :] if n > 1 else b""
+            use = (lambda v: sum(v)) if n <= shared else (lambda v: v[c])
+            row = {g[-1:]: use(v) for g, v in tables[n].items() if g[:-1] == ctx and use(v) > 0}
+            total = sum(row.values())
+            if total:
+                p = max(row.get(byte, 0) - 0.75, 0) / total + min(0.75 * len(row) / total, 1.0) * p
+            if n == shared:
+                backoff = p
+        return p, backoff
+
+    padded, out = b" " * (order - 1) + word + b" ", np.zeros(3)
+    for i in range(len(word) + 1):
+        context, byte = padded[i : i + order - 1], padded[i + order - 1 : i + order]
+        (a, backoff), (b, _) = chance(0, context, byte), chance(1, context, byte)
+        out += np.log([max(a, backoff), b, backoff])
+    return out
+
+
+def test_likelihoods_by_dictionaries():
+    counts = {b"stupid": (0, 6), b"the": (9, 2), b"then": (5, 1), b"that": (4, 1), b"stun": (2, 0), b"a": (3, 3)}
+    words = list(counts)
+    grams, number, _ = _layout(words, 4)
+    kinds, at = np.unique(grams, return_inverse=True)
+    table = np.stack([np.bincount(at, np.array([counts[w][c] for w in words])[number]) for c in (0, 1)], axis=1)
+    model = KneserNey(kinds, table, 4, 2)
+    for word in (b"stupid", b"then", b"stand", b"a", b"zz", b"th"):
+        ordinary, toxic, _ = brute_likelihood(counts, word, 4, 2)
+        assert np.isclose(model.words([word])[0], toxic - ordinary)
+
+
+def test_models_keep_columns_and_empty_tables(spark):
     docs, labels = load(spark, "documents"), load(spark, "labels")
-    model = fit_toxicity(docs, labels, most_grams=1)
+    model = fit_toxicity(docs, labels)
     scored = score_toxicity(awkward(spark), model)
     assert sorted(scored.columns) == sorted(awkward(spark).columns) and scored.count() == len(AWKWARD)
     assert score_toxicity(empty(spark), model).collect() == []
-    assert fit_toxicity(docs, labels.where("toxic = 0"), most_grams=1) is None
-    assert fit_toxicity(empty(spark), labels, most_grams=0) is None
+    assert fit_toxicity(docs, labels.where("toxic = 0")) is None
+    assert fit_toxicity(empty(spark), labels) is None

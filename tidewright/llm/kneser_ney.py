@@ -58,6 +58,15 @@ class KneserNey:
         self.rest, self.known = (grams, counts), self.levels[0][0]
         self.ratio = self._ratios(self.known) if least == 1 or base is not None else None
 
+    @classmethod
+    def from_levels(cls, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], shared: int) -> KneserNey:
+        """A model from the tables of all its levels, the highest order first."""
+        self = cls.__new__(cls)
+        self.order, self.least, self.shared, self.base, self.levels = len(levels), 1, shared, None, levels
+        self.known = levels[0][0]
+        self.ratio = self._ratios(self.known)
+        return self
+
     def _chances(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """P(last byte | bytes before) in both classes, and that of the shared backoff."""
         p = np.full((len(grams), 2), 1 / 256) if self.base is None else self.base._chances(grams)[0]

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labels that are sent to every task; more of them are met by a shuffle of both sides.
-BROADCAST_ROWS = 2_000_000
-
 
 def remainder(id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo a divisor; the fold of a row. NULL ids have no fold."""
@@ -21,12 +18,17 @@ def training_labels(labels: DataFrame, label: str, divisor: int, held_out: int,
 
 
 def sampled(labels: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` labels, the same ones every time, whatever the order of rows."""
-    return labels.orderBy(F.xxhash64("doc"), "doc").limit(most)
+    """At most ``most`` labels, the same ones every time, whatever the order of rows.
+
+    ``labels`` is settled. A share of them, by hash, is about half as many again as are wanted; only these are ordered.
+    """
+    share = min(1.0, 1.5 * most / max(1, labels.count()))
+    near = labels.where(F.pmod(F.xxhash64("doc"), F.lit(1 << 20)) < F.lit(max(1, int(share * (1 << 20)))))
+    return near.orderBy(F.xxhash64("doc"), "doc").limit(most)
 
 
 def with_labels(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, label, raw): labelled documents with their whole texts in UTF-8."""
-    side = F.broadcast(labels) if labels.count() <= BROADCAST_ROWS else labels
+    """(doc, label, raw): labelled documents with their whole texts in UTF-8. Settled labels have a known size, by which
+    Spark decides whether to send them to the tasks."""
     rows = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).cast("binary").alias("raw"))
-    return rows.join(side, "doc").select("doc", "label", "raw")
+    return rows.join(labels, "doc").select("doc", "label", "raw")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import settle, slices
 from .labelled import remainder, sampled, training_labels, with_labels
 
 FEATURES = (
@@ -176,9 +176,9 @@ def fit_quality(
             x = figures(batch.column(2).to_pylist())
             yield pa.record_batch([batch.column(1), *map(pa.array, x.T)], ["label", *FEATURES])
 
-    usable = training_labels(labels, label, 4, 2, id)
+    usable = settle(training_labels(labels, label, 4, 2, id), "labels")
     schema = "label int, " + ", ".join(f"{f} double" for f in FEATURES)
-    rows = with_labels(docs, sampled(usable, sample_rows), id, text).mapInArrow(run, schema).toPandas()
+    rows = with_labels(docs, settle(sampled(usable, sample_rows), "sample"), id, text).mapInArrow(run, schema).toPandas()
     rows = rows.sort_values([*FEATURES, "label"])
     return fit_gam(rows[list(FEATURES)].to_numpy(), (rows["label"] > 0).to_numpy(float))
 

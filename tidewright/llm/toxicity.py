@@ -9,8 +9,9 @@ document is compared by the ratio normalised by its length and by its most telli
 into a score. The link is fitted on a bounded sample of the learning rows, each half of them scored by the models of the
 other half, so that it sees words as new as those of later documents.
 
-All learning rows are counted. An n-gram table of at most ``most_grams`` rows goes to every task. A larger one stays
-spread over the tasks, and words meet it by joins (``toxicity_wide``); the order and the scores are the same either way.
+All learning rows are counted. The tables of the models are built in the tasks, from n-grams grouped by the last two
+bytes of their context, and written to the shared folder; a worker opens them once. There is one table of n-grams, not of
+occurrences, so it grows as slowly as the spelling of new words does.
 
 NULL and empty texts, and texts without words, have no evidence and get the score of the link for zero features.
 Repeated rows get equal scores; without labels of both classes every score is 0.
@@ -29,9 +30,10 @@ from pyspark.sql import functions as F
 from .common import ALNUM_TABLE, ascii_lower_words, settle, slices
 from .kneser_ney import KneserNey, cut_words
 from .kneser_ney import layout as _layout
+from .kneser_tables import COUNTS, opened_model, write_tables
 from .labelled import remainder, sampled, training_labels, with_labels
-from .toxicity_wide import COUNTS, NAMES, WideModel, wide_features, wide_grams
 
+NAMES = ("mean", "top_1", "top_2", "top_3", "next_5", "log_words")
 FLUSH = 300_000
 
 
@@ -134,97 +136,71 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int
 
 
 class ToxicityModel:
-    def __init__(self, evidence: Evidence, link: tuple[np.ndarray, np.ndarray, np.ndarray]):
-        self.evidence, self.link = evidence, link
+    """Where the tables lie, and the link; this is all that goes to the tasks."""
+
+    def __init__(self, tables: str, shared: int, link: tuple[np.ndarray, np.ndarray, np.ndarray]):
+        self.tables, self.shared, self.link = tables, shared, link
 
     def score(self, texts: list[bytes | None]) -> np.ndarray:
         w, mean, scale = self.link
-        z = np.column_stack([(self.evidence.features(texts) - mean) / scale, np.ones(len(texts))]) @ w
+        z = np.column_stack([(evidence(self.tables, 0, self.shared).features(texts) - mean) / scale, np.ones(len(texts))]) @ w
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+#: The models that this process has opened, by their place.
+_OPEN: dict[tuple[str, int], Evidence] = {}
+
+
+def evidence(tables: str, model: int, shared: int) -> Evidence:
+    """The evidence of one of the models below a folder; models of other folders are let go."""
+    if (tables, model) not in _OPEN:
+        for other in [k for k in _OPEN if k[0] != tables]:
+            del _OPEN[other]
+        _OPEN[tables, model] = Evidence(opened_model(tables, model, shared))
+    return _OPEN[tables, model]
+
+
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", order: int = 6,
-    shared: int = 4, most_grams: int = 1 << 20, sample_rows: int = 20_000,
-) -> ToxicityModel | WideModel | None:
+    shared: int = 4, sample_rows: int = 20_000,
+) -> ToxicityModel | None:
     """Learn from all labelled rows outside the held-out fold; the link from ``sample_rows`` of them."""
-    usable = training_labels(labels, label, 5, 0, id)
+    usable = settle(training_labels(labels, label, 5, 0, id), "labels")
     words = settle(word_counts(with_labels(docs, usable, id, text)), "words")
-    n, grams = order, settle(gram_counts(words, order), "grams")
-    sample = sampled(usable, sample_rows)
-    if grams.count() > most_grams:
-        return _fit_wide(docs, sample, grams, order, shared, id, text)
-    rows = grams.toPandas()
-    counts = rows[list(COUNTS)].to_numpy(np.int64)
-    if not len(counts) or not counts[:, :2].sum(axis=0).all():
+    grams = settle(gram_counts(words, order), "grams")
+    tables = write_tables(grams, order, shared)
+    if tables is None:
         return None
-    grams = rows["gram"].to_numpy(np.int64)
-    del rows
-
-    def model(part: np.ndarray) -> Evidence:
-        seen = part.sum(axis=1) > 0
-        return Evidence(KneserNey(grams[seen], part[seen], n, min(shared, n - 1)))
-
-    evidence, halves = model(counts[:, :2]), (counts[:, :2] - counts[:, 2:], counts[:, 2:])
-    # Each half is scored by the models of the other one, if that has both classes.
-    others = [model(part) if part.sum(axis=0).all() else evidence for part in halves]
-    sent = docs.sparkSession.sparkContext.broadcast(others)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             half, texts = np.asarray(batch.column(1)), batch.column(2).to_pylist()
-            x = np.where((half == 0)[:, None], *(e.features(texts) for e in sent.value))
+            # Each half is scored by the models of the other one: 1 for half 0, 2 for half 1.
+            x = np.where((half == 0)[:, None], *(evidence(tables, k, shared).features(texts) for k in (1, 2)))
             yield pa.record_batch([batch.column(0), *map(pa.array, x.T)], ["label", *NAMES])
 
+    sample = settle(sampled(usable, sample_rows), "sample")
     sample = with_labels(docs, sample, id, text).select("label", half_of("doc").alias("half"), "raw")
     names = list(NAMES)
     learnt = sample.mapInArrow(features, "label int, " + ", ".join(f"{c} double" for c in names)).toPandas().sort_values([*names, "label"])
-    # The halves' models are done with: tasks and driver need not hold them beside the whole one.
-    sent.destroy()
-    del others
     if learnt["label"].nunique() < 2:
         return None
     link = fit_logistic(learnt[names].to_numpy(), (learnt["label"] > 0).to_numpy(float))
-    return ToxicityModel(evidence, link)
+    return ToxicityModel(tables, shared, link)
 
 
-def _fit_wide(docs: DataFrame, sample: DataFrame, grams: DataFrame, order: int, shared: int, id: str, text: str) -> WideModel | None:
-    """The same model where its n-grams stay spread over the tasks."""
-    total = grams.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS]).first()
-    if not (total["ordinary"] and total["toxic"]):
-        return None
-    model = wide_grams(grams, order, shared, [total[c] for c in COUNTS])
-    rows = settle(with_labels(docs, sample, id, text).select("label", half_of("doc").alias("half"), "raw"), "sample")
-    # Each half is scored by the model of the other one: 1 for half 0, 2 for half 1.
-    found = wide_features(rows, model, "raw", F.col("half") + 1)
-    learnt = found.select("label", *NAMES).toPandas().sort_values([*NAMES, "label"])
-    if learnt["label"].nunique() < 2:
-        return None
-    model.link = fit_logistic(learnt[list(NAMES)].to_numpy(), (learnt["label"] > 0).to_numpy(float))
-    return model
-
-
-def score_toxicity(docs: DataFrame, model: ToxicityModel | WideModel | None, text: str = "text", score: str = "score") -> DataFrame:
+def score_toxicity(docs: DataFrame, model: ToxicityModel | None, text: str = "text", score: str = "score") -> DataFrame:
     """All rows and columns of ``docs`` with a score column (replaced if it is there)."""
     rest = docs.drop(score)
     if model is None:
         return rest.withColumn(score, F.lit(0.0))
-    if isinstance(model, WideModel):
-        w, mean, scale = ([float(v) for v in part] for part in model.link)
-        z = F.lit(w[-1])
-        for k, name in enumerate(NAMES):
-            z = z + F.lit(w[k]) * (F.col(name) - F.lit(mean[k])) / F.lit(scale[k])
-        z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))
-        found = wide_features(rest.select(F.struct("*").alias("row"), F.col(text).cast("binary").alias("raw")), model, "raw", F.lit(0))
-        return found.select("row", (1 / (1 + F.exp(-z))).alias("_score")).select("row.*", F.col("_score").alias(score))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
     names = rest.columns
     if text not in names:
         raise ValueError(f"no column {text}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            values = sent.value.score(batch.column(batch.num_columns - 1).to_pylist())
+            values = model.score(batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values)], names=[*names, score])
 
     return rest.withColumn("__raw", F.col(text).cast("binary")).mapInArrow(run, rest.schema.add(score, "double"))
@@ -234,17 +210,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     """(id, held_out, score, predicted) of every document."""
     model = fit_toxicity(docs, labels, id, text)
     slim = docs.select(F.col(id), F.col(text).cast("binary").alias("raw"))
-    if model is None:
-        found = slim.select(id, F.lit(0.0).alias("score"))
-    elif isinstance(model, WideModel):
-        found = score_toxicity(slim, model, "raw")
-    else:
-        sent = docs.sparkSession.sparkContext.broadcast(model)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
-                yield pa.record_batch([batch.column(0), pa.array(sent.value.score(batch.column(1).to_pylist()))], [id, "score"])
-
-        found = slim.mapInArrow(run, slim.select(id).schema.add("score", "double"))
+    found = score_toxicity(slim, model, "raw")
     fold = F.coalesce(remainder(F.col(id), 5) == 0, F.lit(False))
     return found.select(id, fold.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
