@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from tidewright.catalog.registry import query
-from tidewright.catalog.standins import AS_OF, LANDED, landed
+from tidewright.catalog.standins import AS_OF, LANDED, TURN_WORDS, landed, weather_replies
 from tidewright.plans.bronze import bronze_grid, bronze_grid_history, landed_audit
 from tidewright.sources import classify_variant, with_bbox
+from tidewright.sources.bronze import current_snapshot
 
 # One download per kind: each has part of the values, and land cells have none.
 DOWNLOADS = {
@@ -78,3 +79,21 @@ def bronze_grid_history_query(t):
 )
 def landed_audit_query(t):
     return landed_audit(classify_variant(landed(t)), AS_OF)
+
+
+SNAPSHOT = {"waveHeight": 1, "windSpeed": 2, "airTemperature": 3, "precipitation": 4, "cloudCover": 5, "visibility": 6}
+
+
+@query(
+    "current_snapshot",
+    f"""
+    WITH {TURN_WORDS}
+    SELECT punto_id, zona_id, '2024-01-01T00:00:00' AS moment, NULL::DOUBLE AS "windDirection", """
+    + ", ".join(f'h * {n} AS "{name}"' for name, n in SNAPSHOT.items())
+    + " FROM words WHERE i = 0",
+)
+def current_snapshot_query(t):
+    """The first hour of every reply; a field that the feed lacks is NULL."""
+    now = current_snapshot(weather_replies(t))
+    fields = [F.col(f"datos_actuales.{name}").alias(name) for name in ("windDirection", *SNAPSHOT)]
+    return now.select("punto_id", "zona_id", F.col("datos_actuales.timestamp").alias("moment"), *fields)

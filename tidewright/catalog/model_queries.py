@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from tidewright.catalog.registry import query
 from tidewright.models.metrics import evaluate
-from tidewright.models.risk import ModelParams, build, model_inputs, score, training_frame
+from tidewright.models.risk import ModelParams, build, model_inputs, score, train, training_frame
 from tidewright.plans.dims import dim_points, dim_zones
-from tidewright.plans.serving import prediction_view
+from tidewright.plans.serving import importance_view, prediction_view
 
 FIXED = "2024-02-01 00:00:00"
 CUT = "1996-01-01 00:00:00"
@@ -152,3 +152,67 @@ def dim_zones_query(t):
 def dim_points_query(t):
     points = t.supplier.select(F.col("s_suppkey").alias("punto_id"), F.col("s_nationkey").alias("zona_id"), F.col("s_name").alias("nombre"))
     return dim_points(points, FIXED, t.nation.select(F.col("n_nationkey").alias("zona_id")))
+
+
+#: A whole run on two features: the split, the normal equations in closed form, and the figures of both sides.
+RUN = """
+rows_ AS (
+    SELECT l_shipdate AS ts, floor(l_extendedprice / 8) / 64 AS y, l_linenumber::DOUBLE AS x2,
+           coalesce(CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END, 0)::DOUBLE AS x1
+    FROM lineitem WHERE floor(l_extendedprice / 8) / 64 BETWEEN 0 AND 200
+), ordered AS (
+    SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS i, count(*) OVER () AS n FROM rows_
+), cut AS (
+    SELECT min(ts) AS cut_ts FROM ordered WHERE i = CAST(floor(n * 0.8::DOUBLE) AS BIGINT)
+), m AS (
+    SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) AS v1, var_pop(x2) AS v2, covar_pop(x1, x2) AS c12,
+           covar_pop(y, x1) AS c1, covar_pop(y, x2) AS c2
+    FROM rows_, cut WHERE ts < cut_ts
+), fit AS (
+    SELECT (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS w1, (c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS w2, m1, m2, my FROM m
+), errors AS (
+    SELECT ts < cut_ts AS early, y, my + w1 * (x1 - m1) + w2 * (x2 - m2) - y AS d FROM rows_, cut, fit
+), figures AS (
+    SELECT early, count(*) AS n, sqrt(avg(d * d)) AS rmse, avg(abs(d)) AS mae, 1 - sum(d * d) / (var_pop(y) * count(*)) AS r2
+    FROM errors GROUP BY early
+)
+"""
+PAIR = ["quantity", "line"]
+
+
+def _run(t):
+    rows = priced(t).withColumn("line", F.col("l_linenumber").cast("double"))
+    return train(rows, FIXED, ModelParams(kind="LR"), run_id="baseline", inputs=PAIR, zone=False, regularisation=0.0)
+
+
+@query(
+    "risk_model_record",
+    f"""
+    WITH {RUN}
+    SELECT 'baseline' AS run_id, 'LR' AS model_type,
+           '{{"depth": 10, "kind": "LR", "rate": 0.1, "seed": 42, "subsample": 0.8, "trees": 100}}' AS params,
+           1.0::DOUBLE - 0.8::DOUBLE AS test_split, tr.n AS train_records, te.n AS test_records, 2 AS num_features,
+           round(te.rmse, 5) AS rmse, round(te.mae, 5) AS mae, round(te.r2, 6) AS r2,
+           round(tr.rmse, 5) AS rmse_train, round(tr.mae, 5) AS mae_train, round(tr.r2, 6) AS r2_train,
+           CASE WHEN tr.r2 - te.r2 > 0.15 THEN 'OVERFIT' WHEN te.rmse > 20 THEN 'HIGH_RMSE' ELSE 'OK' END AS verdict,
+           TIMESTAMP '{FIXED}' AS created_at
+    FROM (SELECT * FROM figures WHERE early) tr, (SELECT * FROM figures WHERE NOT early) te
+    """,
+)
+def risk_model_record(t):
+    """Split, fit, evaluation and record of a run with two features."""
+    digits = {"rmse": 5, "mae": 5, "r2": 6, "rmse_train": 5, "mae_train": 5, "r2_train": 6}
+    return _run(t).record.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+@query(
+    "importance_view",
+    f"""
+    WITH {RUN}, w AS (SELECT 'quantity' AS feature, w1 AS w FROM fit UNION ALL SELECT 'line', w2 FROM fit)
+    SELECT feature, round(w, 6) AS importance, row_number() OVER (ORDER BY abs(w) DESC, feature)::INTEGER AS rank, 'LR' AS model_type,
+           'baseline' AS run_id, TIMESTAMP '{FIXED}' AS created_at
+    FROM w
+    """,
+)
+def importance_view_query(t):
+    return importance_view(_run(t).importances).withColumn("importance", F.round("importance", 6))

@@ -24,7 +24,7 @@ from tidewright.models.metrics import error_table, evaluate
 from tidewright.models.risk import ModelParams, temporal_split, train
 from tidewright.plans.features import features
 from tidewright.plans.gold import gold_current, gold_zone_hour
-from tidewright.plans.serving import favourable_view, forecast_view
+from tidewright.plans.serving import current_view, favourable_view, forecast_view
 from tidewright.plans.silver import silver_grid, silver_tide, silver_weather
 
 FIXED = "2024-02-01 00:00:00"
@@ -355,8 +355,23 @@ def temporal_split_query(t):
     return figures("train", earlier).unionByName(figures("test", later))
 
 
-@query("risk_model_record")
-def risk_model_record(t):
-    """Fit the linear baseline on the first 80 % of the hours and report its figures on the rest (no SQL form)."""
-    run = train(features(_gold_month(t), MONTH_START), MONTH_START, ModelParams(kind="LR"), run_id="baseline")
-    return run.record
+@query(
+    "serving_current",
+    f"""
+    WITH {GOLD},
+    p AS (
+      SELECT *, wind_speed_ms * 1.94384::DOUBLE AS wind_speed_kts,
+             sqrt(corriente_u_ms * corriente_u_ms + corriente_v_ms * corriente_v_ms) AS corriente_speed_ms
+      FROM gold WHERE timestamp_forecast >= TIMESTAMP '{NOW}' AND timestamp_forecast < TIMESTAMP '{NOW}' + INTERVAL 3 HOUR
+      QUALIFY row_number() OVER (PARTITION BY zona_id ORDER BY timestamp_forecast) = 1),
+    s AS (SELECT *, {RISK} AS risk_score FROM p)
+    SELECT zona_id, timestamp_forecast AS timestamp_forecast_actual, risk_score, {LEVEL} AS safety_level,
+           CASE WHEN wave_height_m >= 2.5 THEN 'Oleaje alto' WHEN wind_speed_kts >= 25 THEN 'Viento fuerte'
+                WHEN risk_score >= 40 THEN 'Condiciones riesgosas' WHEN risk_score >= 20 THEN 'Precaucion recomendada'
+           END AS alerta_texto,
+           wave_height_m, wind_speed_kts, visibility_km, altura_marea_m, 630 AS minutes_since_update
+    FROM s
+    """,
+)
+def serving_current(t):
+    return current_view(gold_current(_gold(t), NOW))

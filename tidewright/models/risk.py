@@ -91,17 +91,24 @@ def build(
     return Pipeline(stages=[codes, number, vector, model])
 
 
-def fit_risk_model(train: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
+def fit_risk_model(
+    train: DataFrame, params: ModelParams = ModelParams(), inputs: list[str] = NUMERIC_FEATURES, zone: bool = True, regularisation: float = 1e-6
+) -> PipelineModel:
     """A fitted pipeline; the zone codes are part of it and are not refitted at scoring."""
     checkpoint_dir(train.sparkSession)
-    return build(params).fit(model_inputs(train))
+    return build(params, inputs, zone, regularisation).fit(model_inputs(train, inputs))
+
+
+def input_names(model: PipelineModel) -> list[str]:
+    """The features of a fitted pipeline in the order of the model's weights."""
+    return list(model.stages[-2].getInputCols())
 
 
 def feature_importance(model: PipelineModel, spark: SparkSession, run_id: str, as_of, kind: str = "GBT") -> DataFrame:
-    """Importances in descending order, or the coefficients of a linear model by absolute value."""
+    """Importances in descending order, or the coefficients of a linear model by absolute value; names come from the model."""
     fitted = model.stages[-1]
     weights = fitted.coefficients if kind == "LR" else fitted.featureImportances
-    names = [*NUMERIC_FEATURES, "zona_id_encoded"]
+    names = input_names(model)
     rows = spark.createDataFrame(list(zip(names, [float(w) for w in weights.toArray()])), "feature string, importance double")
     # One row per feature, so a single window over all of them is small by construction.
     order = Window.orderBy(F.abs("importance").desc(), "feature")
@@ -152,33 +159,39 @@ def train(
     train_share: float = 0.8,
     save_to: str | None = None,
     run_id: str | None = None,
+    inputs: list[str] = NUMERIC_FEATURES,
+    zone: bool = True,
+    regularisation: float = 1e-6,
 ) -> Training:
-    """Split, fit, evaluate and record. With ``save_to`` the model goes to that folder under its run id."""
+    """Split, fit, evaluate and record, over any list of features. With ``save_to`` the model goes to that folder under its
+    run id."""
     spark = features.sparkSession
     # Fitting reads its rows many times: compute them once, into the shared checkpoint folder.
     checkpoint_dir(spark)
     rows = training_frame(features.checkpoint())
     earlier, later = temporal_split(rows, "timestamp_forecast", train_share)
-    model = fit_risk_model(earlier, params)
+    model = fit_risk_model(earlier, params, inputs, zone, regularisation)
     sides = {
-        name: model.transform(model_inputs(side)) for name, side in (("train", earlier), ("test", later))
+        name: model.transform(model_inputs(side, inputs)) for name, side in (("train", earlier), ("test", later))
     }
     figures = {name: evaluate(side, TARGET, "prediction").first() for name, side in sides.items()}
     run_id = run_id or uuid.uuid4().hex
-    record = run_record(spark, run_id, params, train_share, figures, as_of)
+    record = run_record(spark, run_id, params, train_share, figures, as_of, len(input_names(model)))
     if save_to is not None:
         model.write().overwrite().save(f"{save_to}/{run_id}")
     return Training(model, run_id, record, feature_importance(model, spark, run_id, as_of, params.kind), sides["test"])
 
 
-def run_record(spark: SparkSession, run_id: str, params: ModelParams, train_share: float, figures: dict, as_of) -> DataFrame:
+def run_record(
+    spark: SparkSession, run_id: str, params: ModelParams, train_share: float, figures: dict, as_of, num_features: int
+) -> DataFrame:
     """One row with the settings and metrics of a run."""
     tr, te = figures["train"], figures["test"]
     number = lambda v: float(v) if v is not None else None
     opinion = verdict(tr["r2"] or 0.0, te["r2"] or 0.0, te["rmse"] or 0.0)
     row = [(
         run_id, params.kind, json.dumps(asdict(params), sort_keys=True), 1.0 - train_share,
-        tr["n"], te["n"], len(NUMERIC_FEATURES) + 1,
+        tr["n"], te["n"], num_features,
         number(te["rmse"]), number(te["mae"]), number(te["r2"]),
         number(tr["rmse"]), number(tr["mae"]), number(tr["r2"]), opinion,
     )]
