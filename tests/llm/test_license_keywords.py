@@ -42,3 +42,19 @@ def test_beerware_is_found(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.labels, r.score) for r in license_labels(df).collect()}
     assert got == {0: ("beerware", 0.8), 1: ("beerware", 0.95), 2: ("beerware", 0.8), 3: ("", 0.0), 4: ("", 0.0)}
+
+
+def test_work_grows_with_the_matches(spark):
+    """A text of many notices costs about as much for each as one of fewer, and planning is quick."""
+    import time
+
+    start = time.time()
+    found = {n: license_labels(spark.createDataFrame([(1, "mit license " * n)], "doc_id long, text string")) for n in (2, 5_000, 20_000)}
+    seconds = {}
+    for n, df in found.items():
+        before = time.time()
+        row = df.first()
+        seconds[n] = time.time() - before
+        assert (row.n_base, row.n_words, row.last_word, row.labels) == (n, 2 * n, 2 * n - 2, "mit")
+    assert time.time() - start < 90 and seconds[20_000] < 10 * seconds[5_000] + 5
+    print(seconds)

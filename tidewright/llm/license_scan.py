@@ -8,11 +8,13 @@ one of higher priority, then of the earlier rule, stays); detections that merely
 
 Four phrases are always reported by their places, and their labels stay whatever the rules say. NULL and empty texts
 have no words, places or labels and score 0. Repeated rows get equal results. The number of detections of a text is
-bounded by its length, and intervals are resolved in one ordered pass, so a text full of notices is no problem.
+bounded by its length; they are listed and resolved in ordered passes whose arrays grow by chunks, so the work on a text
+full of notices grows with their number.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -203,18 +205,40 @@ def _detections(text: Column, table: Column, words: Column) -> Column:
     def intervals(rule: Column) -> Column:
         found = F.regexp_extract_all(text, rule["pattern"], F.lit(0))
         gaps = F.transform(F.split(text, rule["pattern"], -1), lambda g: F.length(g))
-        nothing = F.struct(F.lit(0).alias("at"), F.slice(F.array(_interval(rule, F.lit(0), F.lit(0))), 1, 0).alias("out"))
+        # The gap before each match goes with it: an expression inside the step would be computed again for every match.
+        met = F.filter(F.arrays_zip(gaps.alias("gap"), found.alias("match")), lambda z: z["match"].isNotNull())
+        nothing = F.struct(F.lit(0).alias("at"), *_chunks(_interval(rule, F.lit(0), F.lit(0))))
 
-        def step(acc: Column, match: Column) -> Column:
-            start = acc["at"] + F.get(gaps, F.size(acc["out"]))
-            end = start + F.length(match)
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(_interval(rule, start, end))).alias("out"))
+        def step(acc: Column, z: Column) -> Column:
+            start = acc["at"] + z["gap"]
+            end = start + F.length(z["match"])
+            return F.struct(end.alias("at"), *_appended(acc, _interval(rule, start, end)))
 
-        return F.aggregate(found, nothing, step, lambda acc: acc["out"])
+        return F.aggregate(met, nothing, step, _whole)
 
     return F.array_sort(F.flatten(F.transform(chosen, intervals)))
 
 
+#: Elements of a chunk of a growing array: appending copies a chunk and the list of chunks, not all that came before.
+CHUNK = 256
+
+
+def _chunks(like: Column) -> list[Column]:
+    """The fields of an empty growing array of such elements."""
+    none = F.slice(F.array(like), 1, 0)
+    return [F.slice(F.array(none), 1, 0).alias("done"), none.alias("open")]
+
+
+def _appended(acc: Column, x: Column) -> list[Column]:
+    full = F.size(acc["open"]) >= CHUNK
+    done = F.when(full, F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"])
+    return [done.alias("done"), F.when(full, F.array(x)).otherwise(F.concat(acc["open"], F.array(x))).alias("open")]
+
+
+def _whole(acc: Column) -> Column:
+    return F.flatten(F.concat(acc["done"], F.array(acc["open"])))
+
+
 def _interval(rule: Column, start: Column, end: Column) -> Column:
     return F.struct(
         start.alias("start"), (-end).alias("last"), (-rule["priority"]).alias("weight"), rule["number"].alias("rule"), rule["label"].alias("label")
@@ -223,16 +247,19 @@ def _interval(rule: Column, start: Column, end: Column) -> Column:
 
 def _resolved(sorted_intervals: Column) -> Column:
     """Intervals that no earlier one of equal or higher priority contains; one ordered pass."""
-    kept = F.slice(F.transform(sorted_intervals, _public), 1, 0)
-    start = F.struct(F.lit(-1).alias("p1"), F.lit(-1).alias("p2"), F.lit(-1).alias("p3"), kept.alias("kept"))
+    none = F.lit(0)
+    like = F.struct(none.alias("start"), none.alias("end"), none.alias("priority"), F.lit("").alias("label"))
+    start = F.struct(F.lit(-1).alias("p1"), F.lit(-1).alias("p2"), F.lit(-1).alias("p3"), *_chunks(like))
 
     def step(acc: Column, x: Column) -> Column:
         end, priority = -x["last"], -x["weight"]
         reach = F.when(priority == 1, F.greatest(acc["p1"], acc["p2"], acc["p3"])).when(priority == 2, F.greatest(acc["p2"], acc["p3"])).otherwise(acc["p3"])
         further = [F.when(priority == p, F.greatest(acc[f"p{p}"], end)).otherwise(acc[f"p{p}"]).alias(f"p{p}") for p in (1, 2, 3)]
-        return F.struct(*further, F.when(reach >= end, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(_public(x)))).alias("kept"))
+        held = [acc["done"], acc["open"]]
+        grown = [F.when(reach >= end, old).otherwise(new).alias(name) for old, new, name in zip(held, _appended(acc, _public(x)), ("done", "open"))]
+        return F.struct(*further, *grown)
 
-    return F.aggregate(sorted_intervals, start, step, lambda acc: acc["kept"])
+    return F.aggregate(sorted_intervals, start, step, _whole)
 
 
 def _public(x: Column) -> Column:
@@ -243,12 +270,9 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` with n_words, places (start word and label of the fixed phrases) and
     detections (start, end in the normalised words' text, priority, label); columns of these names are replaced."""
     table = rules()
-    literal = F.array(
-        *[
-            F.struct(F.lit(n).alias("number"), F.lit(label).alias("label"), F.lit(p).alias("priority"), F.lit(k).alias("keyword"), F.lit(x).alias("pattern"))
-            for n, (label, p, k, x) in enumerate(table)
-        ]
-    )
+    # One constant, which Spark folds into an array: hundreds of nested literals would take seconds to plan.
+    listed = [{"number": n, "label": label, "priority": p, "keyword": k, "pattern": x} for n, (label, p, k, x) in enumerate(table)]
+    literal = F.from_json(F.lit(json.dumps(listed)), "array<struct<number int, label string, priority int, keyword string, pattern string>>")
     rest = docs.drop("n_words", "places", "detections")
     raw = F.coalesce(F.col(text), F.lit(""))
     word = F.lit(WORD)
