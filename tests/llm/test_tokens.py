@@ -80,7 +80,7 @@ def brute_files(rows, library):
 
 @pytest.mark.parametrize("per_shard", [2, 5, 4096])
 def test_files_of_awkward_rows(spark, library, per_shard):
-    manifest = write_token_files(awkward(spark), shared_path(spark, "t"), PATH, 2, rows_per_shard=per_shard)
+    manifest = write_token_files(awkward(spark), shared_path(spark, "t"), PATH, 2, rows_per_task=per_shard)
     got = sorted(map(tuple, read_token_files(manifest).collect()), key=repr)
     assert got == brute_files(AWKWARD, library)
     wanted = spark.createDataFrame([(7,), (8,), (99,)], "doc_id long")
@@ -171,3 +171,15 @@ def test_query_packing(spark, library):
     got = QUERIES["op8_packing_buckets"](spark, SF).collect()
     want = {d: len(ids_of(library, t)) + 1 for d, t in documents()[["doc_id", "text"]].itertuples(index=False)}
     check_packing(got, 2048, 65_536, want)
+
+
+def test_shards_are_bounded_by_bytes_and_hold_whole_ids(spark, library):
+    rows = [(i // 3, f"text number {i} " * (i % 7)) for i in range(60)] + [(None, f"no id {i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    manifest = write_token_files(df, shared_path(spark, "t"), PATH, 2, rows_per_task=30, shard_bytes=200)
+    assert sorted(map(tuple, read_token_files(manifest).collect()), key=repr) == brute_files(rows, library)
+    shards = manifest.orderBy("shard").collect()
+    assert len(shards) > 8 and max(r.n_ids for r in shards) < 250 and [r.start for r in shards] == sorted(r.start for r in shards)
+    wanted = spark.createDataFrame([(d,) for d in range(20)], "doc_id long")
+    found = sorted((r.doc_id, tuple(r.ids)) for r in read_documents(manifest, wanted).collect())
+    assert found == sorted((d, tuple([*ids_of(library, t), 2])) for d, t in rows if d is not None)

@@ -4,7 +4,8 @@ A shard is one file in the public seekable zstandard form: frames of whole or pa
 frame with the document index, then a skippable frame with the seek table. Any zstandard reader can decompress it;
 a reader of some documents fetches the two tables and only the frames that it needs, and checks each frame.
 
-Shards hold ascending ranges of ids (ties by text), so the files in shard order are the corpus in id order. NULL ids
+Shards hold ascending ranges of ids (ties by text), so the files in shard order are the corpus in id order. A task
+writes a range of ids, and begins another shard where one has reached its bytes; rows of one id share a shard. NULL ids
 come first, NULL and empty texts consist of the end id alone. Repeated rows are written as often as they occur.
 """
 
@@ -20,10 +21,11 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_bounds, bucket_of, settle, slices
+from .common import bucket_of, settle, slices
 from .pretokens import pretokenizer
 
 #: Fixed values of the public seekable format: magic of skippable frames, of its footer, and the checksum flag.
@@ -132,48 +134,53 @@ def opened(path: str) -> ShardReader:
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, tokenizer: str, end_id: int, id: str = "doc_id", text: str = "text", rows_per_shard: int = 4096
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int, id: str = "doc_id", text: str = "text", rows_per_task: int = 4096,
+    shard_bytes: int = 8 << 20,
 ) -> DataFrame:
     """Encode all texts into shards below ``folder`` (a URI that all executors reach); returns the manifest.
 
     Manifest: shard, path, n_docs, n_ids, n_bytes, low (smallest id), start (ids of all shards before). A shard is written under a
     name of its own try and counted only through the manifest, so repeated or lost tasks leave no double rows.
     """
-    bounds = bucket_bounds(docs, id, rows_per_shard)
     rows = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"))
-    rows = rows.withColumn("shard", bucket_of(F.col("doc"), bounds)).repartition(len(bounds) + 1, "shard")
+    tasks = max(1, -(-rows.count() // rows_per_task))
+    # Rows without an id may be many; their texts tell where they are cut.
+    own = F.when(F.col("doc").isNull(), F.col("text"))
+    rows = rows.repartitionByRange(tasks, F.asc_nulls_first("doc"), own.asc_nulls_first())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = pretokenizer(tokenizer)
         end = np.array([end_id], encoder.dtype).tobytes()
         store, inner = fs.FileSystem.from_uri(folder)
         store.create_dir(inner, recursive=True)
-        now, writer, stream, name = None, None, None, ""
+        part, number, writer, stream, name, last = TaskContext.get().partitionId(), 0, None, None, "", None
 
         def done() -> pa.RecordBatch:
             writer.close()
             stream.close()
             return pa.RecordBatch.from_pylist(
-                [{"shard": now, "path": f"{folder}/{name}", "n_docs": len(writer._docs), "n_ids": writer.n_ids, "n_bytes": writer.size, "low": writer.low}], schema=manifest
+                [{"shard": (part << 32) + number, "path": f"{folder}/{name}", "n_docs": len(writer._docs), "n_ids": writer.n_ids, "n_bytes": writer.size, "low": writer.low}], schema=manifest
             )
 
         for batch in slices(batches):
             ids = encoder.encode(batch.column(1).to_pylist())
-            for shard, doc, data in zip(batch.column(2).to_pylist(), batch.column(0).to_pylist(), ids):
-                if shard != now:
-                    if writer is not None:
-                        yield done()
-                    now, name = shard, f"shard-{shard:06d}-{uuid.uuid4().hex}.zst"
+            for doc, data in zip(batch.column(0).to_pylist(), ids):
+                if writer is not None and writer.n_ids * encoder.dtype.itemsize >= shard_bytes and (doc is None or doc != last):
+                    yield done()
+                    writer, number = None, number + 1
+                if writer is None:
+                    name = f"shard-{part:06d}-{number:06d}-{uuid.uuid4().hex}.zst"
                     stream = store.open_output_stream(f"{inner}/{name}", compression=None)
                     writer = ShardWriter(stream, encoder.dtype.itemsize)
                 writer.add(doc, data + end)
+                last = doc
         if writer is not None:
             yield done()
 
-    manifest = pa.schema([("shard", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64()), ("low", pa.int64())])
+    manifest = pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64()), ("low", pa.int64())])
     written = settle(
-        rows.sortWithinPartitions("shard", F.asc_nulls_first("doc"), F.asc_nulls_first("text")).mapInArrow(
-            write, "shard int, path string, n_docs long, n_ids long, n_bytes long, low long"
+        rows.sortWithinPartitions(F.asc_nulls_first("doc"), F.asc_nulls_first("text")).mapInArrow(
+            write, "shard long, path string, n_docs long, n_ids long, n_bytes long, low long"
         ),
         "manifest",
     )
@@ -202,8 +209,8 @@ def read_token_files(manifest: DataFrame, id: str = "doc_id") -> DataFrame:
                     [id, "start", "n_tokens", "ids_crc32"],
                 )
 
-    # A task for every few shards: rows of the manifest are small, what they stand for is not.
-    spread = manifest.select("path", "n_docs", "start").repartition(max(1, manifest.count()), "path")
+    # A task for every shard, dealt in turn: rows of the manifest are small, what they stand for is not.
+    spread = manifest.select("path", "n_docs", "start").repartition(max(1, manifest.count()))
     return spread.mapInArrow(read, f"{id} long, start long, n_tokens long, ids_crc32 long")
 
 
@@ -219,7 +226,7 @@ def read_documents(manifest: DataFrame, wanted: DataFrame, id: str = "doc_id") -
                     [pa.array([d for d, _ in got], pa.int64()), pa.array([x.tolist() for _, x in got], pa.list_(pa.int64()))], [id, "ids"]
                 )
 
-    # One value per shard, and there are at most as many shards as bucket_bounds gives.
+    # One value per shard of some megabytes.
     shards = manifest.select("low", "path").where("low is not null").orderBy("shard").collect()
     if not shards:
         return manifest.sparkSession.createDataFrame([], f"{id} long, ids array<long>")
