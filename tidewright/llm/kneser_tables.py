@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame
@@ -69,25 +71,28 @@ def write_tables(grams: DataFrame, order: int, shared: int) -> str | None:
 
     folder = shared_path(grams.sparkSession, "kneser-ney")
     pair = F.shiftrightunsigned("gram", 8).bitwiseAND(F.lit(0xFFFF)).alias("pair")
-    grams.groupBy(pair).applyInPandas(upper, _ROWS).write.parquet(folder)
+    grams.groupBy(pair).applyInPandas(upper, _ROWS).write.partitionBy("model").parquet(folder)
     low = grams.sparkSession.read.schema(_ROWS).parquet(folder).where("level = 0")
     low = low.groupBy("model", "key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    low.groupBy("model").applyInPandas(lower, _ROWS).write.mode("append").parquet(folder)
+    low.groupBy("model").applyInPandas(lower, _ROWS).write.mode("append").partitionBy("model").parquet(folder)
     return folder
 
 
 def opened_model(folder: str, model: int, shared: int) -> KneserNey:
-    """A model from its tables."""
+    """A model from its tables; only its own part of the folder is read."""
     store, inner = fs.FileSystem.from_uri(folder)
-    rows = pq.read_table(inner, filesystem=store, filters=[("model", "==", model), ("level", ">", 0)], columns=["level", "context", "key", "a", "b"])
+    rows = pq.read_table(f"{inner}/model={model}", filesystem=store, partitioning=None, use_threads=False)
+    rows = rows.filter(pc.greater(rows.column("level"), 0))
     level, context, key = (rows.column(c).to_numpy() for c in ("level", "context", "key"))
     values = np.column_stack([rows.column(c).to_numpy() for c in ("a", "b")])
     del rows
+    pa.default_memory_pool().release_unused()
 
     def table(n: int, is_context: bool) -> tuple[np.ndarray, np.ndarray]:
         own = np.flatnonzero((level == n) & (context == is_context))
-        own = own[np.argsort(key[own], kind="stable")]
+        own = own[np.argsort(key[own])]
         return key[own], values[own]
 
     levels = [(*table(n, False), *table(n, True)) for n in range(int(level.max()), 0, -1)]
+    del level, context, key, values
     return KneserNey.from_levels(levels, shared)

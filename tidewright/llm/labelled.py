@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Settled labels of at most so many rows (some 24 MB) are sent to every task, by a count; more of them meet the texts by
+#: a shuffle of both sides.
+BROADCAST_ROWS = 2_000_000
+
 
 def remainder(id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo a divisor; the fold of a row. NULL ids have no fold."""
@@ -28,7 +32,7 @@ def sampled(labels: DataFrame, most: int) -> DataFrame:
 
 
 def with_labels(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, label, raw): labelled documents with their whole texts in UTF-8. Settled labels have a known size, by which
-    Spark decides whether to send them to the tasks."""
+    """(doc, label, raw): labelled documents with their whole texts in UTF-8."""
     rows = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).cast("binary").alias("raw"))
-    return rows.join(labels, "doc").select("doc", "label", "raw")
+    side = F.broadcast(labels) if labels.count() <= BROADCAST_ROWS else labels
+    return rows.join(side, "doc").select("doc", "label", "raw")

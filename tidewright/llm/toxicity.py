@@ -87,7 +87,7 @@ def gram_counts(words: DataFrame, order: int) -> DataFrame:
 class Evidence:
     """Features of texts under a model; keeps the ratios of words in a bounded table."""
 
-    def __init__(self, model: KneserNey, most: int = 200_000):
+    def __init__(self, model: KneserNey, most: int = 100_000):
         self.model, self.most, self.known = model, most, {}
 
     def features(self, texts: list[bytes | None]) -> np.ndarray:
@@ -152,9 +152,10 @@ _OPEN: dict[tuple[str, int], Evidence] = {}
 
 
 def evidence(tables: str, model: int, shared: int) -> Evidence:
-    """The evidence of one of the models below a folder; models of other folders are let go."""
+    """The evidence of one of the models below a folder. Models of other folders are let go, and so are those of the
+    halves once the whole is asked for."""
     if (tables, model) not in _OPEN:
-        for other in [k for k in _OPEN if k[0] != tables]:
+        for other in [k for k in _OPEN if k[0] != tables or (k[1] == 0) != (model == 0)]:
             del _OPEN[other]
         _OPEN[tables, model] = Evidence(opened_model(tables, model, shared))
     return _OPEN[tables, model]
