@@ -212,3 +212,39 @@ def test_footers_give_the_schema_spark_reads(spark, landed_tree):
     files = spark.createDataFrame([(landed_tree["good"],)], "path string")
     assert file_schemas(spark, files).first()["schema_fp"] == schema_fingerprint(spark.read.parquet(landed_tree["good"]).schema)
     assert WEATHER_SUITE.expected_points == 30
+
+
+def test_a_long_queue_is_judged_in_the_tasks(spark, tmp_path, monkeypatch):
+    """Hundreds of files of several row groups; no frame with paths is collected while the verdicts are planned."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    from tidewright.sources.feeds import landed_files
+
+    moment = F.array(*[F.struct(F.format_string("2026-02-01T%02d:00:00", F.lit(h)).alias("time")) for h in range(3)])
+    rows = spark.range(2_400).select((F.col("id") % 300).alias("f"), F.col("id").cast("string").alias("punto_id"), F.struct(moment.alias("hours")).alias("raw_data"))
+    root = str(tmp_path / "many")
+    rows.repartition(4).write.partitionBy("f").option("parquet.block.size", 64).parquet(root)
+    suite = PointSuite("raw_data.hours", "time", expected_points=2, min_readings=3, min_hours=2.0)
+    agreed = Contract(rows.drop("f").schema, suite)
+    queue = landed_files(spark, {"a": root})
+    collected, plain = [], Classic.collect
+    monkeypatch.setattr(Classic, "collect", lambda self: collected.append(self.columns) or plain(self))
+    log = validate_files(spark, queue, "a", agreed, RUN)
+    assert not [c for c in collected if "path" in c]
+    monkeypatch.undo()
+    found = log.collect()
+    assert len(found) == queue.count() >= 300 and {r["path"] for r in found} == {r["path"] for r in queue.collect()}
+    assert sum(r["puntos_cnt"] for r in found) == 2_400
+    assert all((r["status"] == "PASS") == (r["puntos_cnt"] == 2) for r in found)
+
+
+def test_a_broken_row_group_is_a_finding(spark, landed_tree, tmp_path):
+    data = bytearray(open(landed_tree["good"], "rb").read())
+    data[4:200] = bytes(196)  # the pages are gone, the footer is whole
+    path = str(tmp_path / "torn.parquet")
+    open(path, "wb").write(bytes(data))
+    queue = spark.createDataFrame([("stormglass", path), ("stormglass", landed_tree["good"])], "source string, path string")
+    log = {r["path"]: r for r in validate_files(spark, queue, "stormglass", contract(spark, landed_tree["good"]), RUN).collect()}
+    assert log[path]["status"] == "FAIL" and log[path]["violations"].startswith("UNREADABLE")
+    assert log[landed_tree["good"]]["status"] == "PASS"
