@@ -21,7 +21,7 @@ from tidewright.catalog.standins import (
     weather_sql,
 )
 from tidewright.models.metrics import error_table, evaluate
-from tidewright.models.risk import ModelParams, temporal_split, train
+from tidewright.models.risk import temporal_split
 from tidewright.plans.features import features
 from tidewright.plans.gold import gold_current, gold_zone_hour
 from tidewright.plans.serving import current_view, favourable_view, forecast_view
