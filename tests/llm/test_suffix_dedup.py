@@ -39,6 +39,24 @@ def test_query_equals_brute_force(spark):
     assert got == brute(docs, 400) and any(r[2] for r in got)
 
 
+def test_query_gives_what_remains(spark, tmp_path):
+    random.seed(5)
+    words = lambda n, k: " ".join("".join(random.choices("abcdefgh", k=k)) for _ in range(n))
+    long, short = words(60, 7), words(60, 4)
+    assert len(short) < 400 <= len(long)
+    # The first byte of these characters is the same: it goes with the passage, the last byte stays.
+    docs = [(1, "Zoë " + words(30, 5) + "1" + long + "é" + words(9, 5)), (2, words(20, 6) + "2" + long + "è"), (3, "3" + short + "3"), (4, "4" + short + "4")]
+    docs += [(5, words(200, 5)), (6, None), (7, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op13_suffix_dedup"](spark, str(tmp_path))
+    assert rows(got) == brute(docs, 400)
+    text = {r.doc_id: r.text for r in got.collect()}
+    for doc, before in docs[:2]:
+        head, tail = before.split(long)
+        assert text[doc] == head + (tail.encode()[1:]).decode(errors="replace") and "\ufffd" in text[doc]
+    assert all(text[doc] == before for doc, before in docs[2:])
+
+
 def passages(n=150, seed=3):
     """Few letters, shared passages, edited copies, runs, and one passage that a third of all texts hold."""
     random.seed(seed)
